@@ -8,7 +8,14 @@ from strata.operators.aggregates import (
     union_sum,
 )
 from strata.operators.filters import date_range, optional_equal, unless_exists
-from strata.operators.joins import broadcast_if_small, explode_keys, match_any_key
+from strata.operators.joins import (
+    broadcast_if_small,
+    explode_keys,
+    is_small,
+    match_any_key,
+    measured_bytes,
+    row_bytes,
+)
 from strata.operators.ranking import top_n
 from strata.operators.windows import next_in_group, overall_average, running_total
 
@@ -17,12 +24,15 @@ __all__ = [
     "conditional_sums",
     "date_range",
     "explode_keys",
+    "is_small",
     "json_columns",
     "match_any_key",
+    "measured_bytes",
     "next_in_group",
     "optional_equal",
     "overall_average",
     "pivot_sum",
+    "row_bytes",
     "running_total",
     "share_of_total",
     "sum_by",

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,21 +32,30 @@ def match_any_key(
     return left.join(explode_keys(right, right_keys, left_key), left_key)
 
 
-def _row_bytes(df: DataFrame):
+def row_bytes(df: DataFrame) -> Column:
+    """Upper estimate of a row's bytes in memory, for flat rows."""
     widths = [
         F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
         if isinstance(field.dataType, T.StringType)
         else F.lit(16)
         for field in df.schema.fields
     ]
-    return reduce(add, widths, F.lit(16))
+    return reduce(add, widths, F.lit(16)).cast("long")
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame | None:
-    """``df`` marked for broadcast if its rows measure at most ``limit`` bytes.
+def is_small(size: int) -> bool:
+    return size <= BROADCAST_LIMIT
+
+
+def measured_bytes(df: DataFrame) -> int:
+    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df``, marked for broadcast if its rows measure at most the limit.
 
     The size is counted, not estimated: Spark's estimate for a filtered table
-    is that of the unfiltered files. None means the caller must join otherwise.
+    is that of the unfiltered files. Above the limit ``df`` is left as it is,
+    and Spark joins it by shuffle.
     """
-    size = df.agg(F.sum(_row_bytes(df).cast("long"))).first()[0] or 0
-    return F.broadcast(df) if size <= limit else None
+    return F.broadcast(df) if is_small(measured_bytes(df)) else df

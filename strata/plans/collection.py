@@ -19,8 +19,11 @@ from strata.operators import (
     broadcast_if_small,
     date_range,
     explode_keys,
+    is_small,
+    measured_bytes,
     optional_equal,
     overall_average,
+    row_bytes,
     running_total,
     top_n,
 )
@@ -31,6 +34,8 @@ PERSON = "PersonaID"
 UNIT_NAME = "UnidadFuncionalNombre"
 AMOUNT_TYPE = "decimal(38,2)"
 
+MANY_VALUES = 32
+
 _LINKS = "_links"
 
 
@@ -47,18 +52,17 @@ def unit_people(tables: Tables, building_id: int | None = None, label: str | Non
     return explode_keys(units, ["PropietarioID", "InquilinoID"], PERSON)
 
 
-def _accounts_of(tables: Tables, people: DataFrame, building_id: int | None) -> DataFrame | None:
-    """Accounts behind ``people``, marked for broadcast; None if they are too many.
+def _accounts_of(tables: Tables, people: DataFrame, small: bool) -> DataFrame:
+    """Accounts of ``people`` with the columns of theirs.
 
-    Asked only for one building: then both sides of the join with the payments
-    are usually a large table and a short list, and the payments need not move.
+    For one building these are a short list beside the payments: marked for
+    broadcast if they measure small, they let the payments be read in place.
+    Nothing is measured where the people alone are too many; Spark then joins
+    by shuffle, and splits an account that holds much of the payments.
     """
-    if building_id is None:
-        return None
-    people = broadcast_if_small(people)
-    if people is None:
-        return None
-    return broadcast_if_small(tables.account.join(people, PERSON).drop(PERSON))
+    if not small:
+        return tables.account.join(people, PERSON)
+    return broadcast_if_small(tables.account.join(F.broadcast(people), PERSON))
 
 
 def collect_by(
@@ -76,13 +80,10 @@ def collect_by(
     """Sums of payment ``measures`` per period and ``by`` (columns of the unit).
 
     Links of a person to units are counted per ``by`` value and multiplied in,
-    so a payment is never copied per unit. For one building the accounts are
-    broadcast if they measure small, and payments are scanned, filtered and
-    pre-aggregated in place. Otherwise payments are summed per account and
-    period, then per person and period, each behind a map-side aggregate: a hot
-    account or person is a few rows per task before anything is joined, and the
-    two sides of the last join never hold more than one row per person and
-    period, or per person and ``by`` value.
+    so a payment is not copied per unit, and the payments are joined once, with
+    accounts that already carry the links. A person with many ``by`` values
+    would put each of them on each account; such people's payments are summed
+    per person first and meet the links as sums.
     """
     links = unit_people(tables, building_id, label).groupBy(PERSON, *by).agg(
         F.count(F.lit(1)).cast("decimal(10,0)").alias(_LINKS)
@@ -93,15 +94,41 @@ def collect_by(
         *[column.alias(name) for name, column in periods.items()],
         *[column.alias(name) for name, column in measures.items()],
     )
-    sums = [F.sum(name).alias(name) for name in measures]
-    accounts = _accounts_of(tables, links, building_id)
-    if accounts is not None:
-        linked = payments.join(accounts, ACCOUNT)
-    else:
-        per_account = payments.groupBy(ACCOUNT, *periods).agg(*sums)
-        per_person = per_account.join(tables.account, ACCOUNT).groupBy(PERSON, *periods).agg(*sums)
-        linked = per_person.join(links, PERSON)
-    return linked.groupBy(*by, *periods).agg(
+    most, size = _measure_links(links)
+    small = is_small(size)
+    many = None
+    if most > MANY_VALUES:
+        values = links.groupBy(PERSON).agg(F.count(F.lit(1)).alias("_values"))
+        many = values.where(F.col("_values") > MANY_VALUES).select(PERSON)
+    few = links if many is None else links.join(many, PERSON, "left_anti")
+    linked = payments.join(_accounts_of(tables, few, small), ACCOUNT)
+    summed = _sum_links(linked, [*by, *periods], measures)
+    if many is None:
+        return summed
+    per_person = (
+        payments.join(_accounts_of(tables, many, small), ACCOUNT)
+        .groupBy(PERSON, *periods)
+        .agg(*[F.sum(name).alias(name) for name in measures])
+    )
+    rest = _sum_links(per_person.join(links, PERSON), [*by, *periods], measures)
+    return (
+        summed.unionByName(rest)
+        .groupBy(*by, *periods)
+        .agg(*[F.sum(name).cast(AMOUNT_TYPE).alias(name) for name in measures])
+    )
+
+
+def _measure_links(links: DataFrame) -> tuple[int, int]:
+    """The number of links of the person who has most, and the bytes of all."""
+    people = links.groupBy(PERSON).agg(
+        F.count(F.lit(1)).alias("_values"), F.sum(row_bytes(links)).alias("_bytes")
+    )
+    most, size = people.agg(F.max("_values"), F.sum("_bytes")).first()
+    return most or 0, size or 0
+
+
+def _sum_links(linked: DataFrame, by: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    return linked.groupBy(*by).agg(
         *[F.sum(F.col(name) * F.col(_LINKS)).cast(AMOUNT_TYPE).alias(name) for name in measures]
     )
 
@@ -121,10 +148,8 @@ def payments_by_unit(
     payments = date_range(tables.payment, "Fecha", start, end, half_open).select(
         "PagoID", ACCOUNT, "Fecha", "Importe"
     )
-    accounts = _accounts_of(tables, people, building_id)
-    if accounts is not None:
-        return payments.join(accounts, ACCOUNT).drop(ACCOUNT)
-    return payments.join(tables.account, ACCOUNT).join(people, PERSON).drop(ACCOUNT, PERSON)
+    small = is_small(measured_bytes(people))
+    return payments.join(_accounts_of(tables, people, small), ACCOUNT).drop(ACCOUNT, PERSON)
 
 
 def _amount_if(test: Column) -> Column:

@@ -6,8 +6,9 @@ What these compute is this library's own definition, given per function.
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.fixed import CONCEPT_EXTRAORDINARY, CONCEPT_ORDINARY
@@ -18,6 +19,8 @@ from strata.sources.tables import Tables
 
 BUILDING = "ConsorcioID"
 
+_CENTS = "_cents"
+
 
 def _month(column: str):
     return F.trunc(column, "month")
@@ -65,27 +68,37 @@ def _charges(tables: Tables, weight: str | None) -> DataFrame:
         .groupBy(BUILDING, F.col("PropietarioID").alias(PERSON))
         .agg(F.sum("_weight").alias("_owned"))
     )
-    # rounded half up in whole cents, with no division in between
-    cents = F.expr("(2 * cast(100 * TotalGastos as decimal(30,0)) * _owned + _whole) div (2 * _whole)")
-    months = _building_months(tables).join(whole, BUILDING)
-    return owned.join(months, BUILDING).select(
-        PERSON, BUILDING, "Periodo", (cents.cast("decimal(20,0)") / 100).cast(AMOUNT_TYPE).alias("_amount")
+    # cents per unit of weight, and what is left over, once per building and
+    # month; each owner's part is then whole cents, rounded half up
+    months = _building_months(tables).join(whole, BUILDING).select(
+        BUILDING,
+        "Periodo",
+        "_whole",
+        F.expr("cast(100 * TotalGastos as bigint) div _whole").alias("_each"),
+        F.expr("cast(100 * TotalGastos as bigint) % _whole").alias("_over"),
     )
+    cents = F.expr("_each * _owned + (2 * _over * _owned + _whole) div (2 * _whole)")
+    return owned.join(months, BUILDING).select(PERSON, BUILDING, "Periodo", cents.alias(_CENTS))
 
 
 def _credits(tables: Tables) -> DataFrame:
     """Payments of a person, once in each building where the person owns or rents."""
-    sums = [F.sum("Importe").alias("Importe")]
-    by_account = tables.payment.groupBy(ACCOUNT, _month("Fecha").alias("Periodo")).agg(*sums)
-    by_person = by_account.join(tables.account, ACCOUNT).groupBy(PERSON, "Periodo").agg(*sums)
+    paid = tables.payment.select(ACCOUNT, _month("Fecha").alias("Periodo"), "Importe")
+    by_person = (
+        paid.join(tables.account, ACCOUNT).groupBy(PERSON, "Periodo").agg(F.sum("Importe").alias("_sum"))
+    )
     links = (
         explode_keys(tables.unit, ["PropietarioID", "InquilinoID"], PERSON)
         .select(PERSON, BUILDING)
         .distinct()
     )
-    return by_person.join(links, PERSON).select(
-        PERSON, BUILDING, "Periodo", (-F.col("Importe")).cast(AMOUNT_TYPE).alias("_amount")
-    )
+    return by_person.select(PERSON, "Periodo", (-100 * F.col("_sum")).cast("long").alias(_CENTS)).join(
+        links, PERSON
+    ).select(PERSON, BUILDING, "Periodo", _CENTS)
+
+
+def _amount(cents) -> Column:
+    return (cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(AMOUNT_TYPE)
 
 
 def prorate(tables: Tables, period: dt.date | None = None, weight: str | None = None) -> DataFrame:
@@ -101,12 +114,12 @@ def prorate(tables: Tables, period: dt.date | None = None, weight: str | None =
         return (
             moves.where(F.col("Periodo") <= F.lit(period))
             .groupBy(PERSON, BUILDING)
-            .agg(F.max("Periodo").alias("Periodo"), F.sum("_amount").cast(AMOUNT_TYPE).alias("SaldoActual"))
+            .agg(F.max("Periodo").alias("Periodo"), _amount(F.sum(_CENTS)).alias("SaldoActual"))
             .where(F.col("Periodo") == F.lit(period))
         )
-    months = moves.groupBy(PERSON, BUILDING, "Periodo").agg(F.sum("_amount").alias("_amount"))
-    totals = running_total(months, "_amount", "SaldoActual", ["Periodo"], [PERSON, BUILDING])
-    return totals.select(PERSON, BUILDING, "Periodo", F.col("SaldoActual").cast(AMOUNT_TYPE).alias("SaldoActual"))
+    months = moves.groupBy(PERSON, BUILDING, "Periodo").agg(F.sum(_CENTS).alias(_CENTS))
+    totals = running_total(months, _CENTS, "_total", ["Periodo"], [PERSON, BUILDING])
+    return totals.select(PERSON, BUILDING, "Periodo", _amount(F.col("_total")).alias("SaldoActual"))
 
 
 def financial_state(tables: Tables, period: dt.date | None = None) -> DataFrame:

@@ -7,8 +7,40 @@ column expressions are plain SQL that other engines read alike.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import (
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    TimestampNTZType,
+)
 
-from strata.sources.tables import Tables
+from strata.sources.tables import Tables, schema
+
+# the columns the roles use, so that no file footer is read to plan a query
+FILES = {
+    "nation": schema(n_nationkey=IntegerType(), n_name=StringType()),
+    "customer": schema(
+        c_custkey=LongType(), c_name=StringType(), c_nationkey=IntegerType(), c_mktsegment=StringType()
+    ),
+    "supplier": schema(s_suppkey=LongType(), s_nationkey=IntegerType()),
+    "part": schema(p_partkey=LongType(), p_type=StringType()),
+    "orders": schema(
+        o_orderkey=LongType(),
+        o_custkey=LongType(),
+        o_orderstatus=StringType(),
+        o_totalprice=DoubleType(),
+        o_orderdate=TimestampNTZType(),
+        o_orderpriority=StringType(),
+    ),
+    "lineitem": schema(
+        l_partkey=LongType(),
+        l_suppkey=LongType(),
+        l_extendedprice=DoubleType(),
+        l_linestatus=StringType(),
+        l_shipdate=TimestampNTZType(),
+    ),
+}
 
 COLUMNS = {
     "payment": {
@@ -77,13 +109,16 @@ SOURCES = {
 
 
 def stand_ins(spark: SparkSession, path: str) -> Tables:
+    def table(name: str) -> DataFrame:
+        return spark.read.schema(FILES[name]).parquet(f"{path}/{name}.parquet")
+
     def read(role: str) -> DataFrame:
         fact, condition, dimensions = SOURCES[role]
-        df = spark.read.parquet(f"{path}/{fact}.parquet")
+        df = table(fact)
         if condition:
             df = df.where(condition)
-        for table, fact_key, key in dimensions:
-            other = spark.read.parquet(f"{path}/{table}.parquet")
+        for dimension, fact_key, key in dimensions:
+            other = table(dimension)
             df = df.join(other, df[fact_key] == other[key])
         return df.selectExpr(*[f"{sql} AS {name}" for name, sql in COLUMNS[role].items()])
 
