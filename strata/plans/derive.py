@@ -34,7 +34,7 @@ def _collected(tables: Tables, concept: str | None = None) -> DataFrame:
         {"Importe": F.col("Importe")},
         by=[BUILDING],
         concept=concept,
-    )
+    ).where(F.col("Importe").isNotNull())
 
 
 def derive_extra_expenses(tables: Tables) -> DataFrame:
@@ -83,7 +83,9 @@ def _charges(tables: Tables, weight: str | None) -> DataFrame:
 
 def _credits(tables: Tables) -> DataFrame:
     """Payments of a person, once in each building where the person owns or rents."""
-    paid = tables.payment.select(ACCOUNT, _month("Fecha").alias("Periodo"), "Importe")
+    paid = tables.payment.where(F.col("Importe").isNotNull()).select(
+        ACCOUNT, _month("Fecha").alias("Periodo"), "Importe"
+    )
     by_person = (
         paid.join(tables.account, ACCOUNT).groupBy(PERSON, "Periodo").agg(F.sum("Importe").alias("_sum"))
     )
