@@ -15,8 +15,8 @@ BROADCAST_LIMIT = 32 * 1024 * 1024
 
 def explode_keys(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """One row per distinct non-NULL value among ``keys``, called ``name``."""
-    values = F.filter(F.array_distinct(F.array(*keys)), lambda key: key.isNotNull())
-    return df.withColumn(name, F.explode(values))
+    values = F.array_distinct(F.array(*keys))
+    return df.withColumn(name, F.explode(values)).where(F.col(name).isNotNull())
 
 
 def match_any_key(

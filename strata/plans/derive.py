@@ -119,9 +119,10 @@ def prorate(tables: Tables, period: dt.date | None = None, weight: str | None =
             .agg(F.max("Periodo").alias("Periodo"), _amount(F.sum(_CENTS)).alias("SaldoActual"))
             .where(F.col("Periodo") == F.lit(period))
         )
-    months = moves.groupBy(PERSON, BUILDING, "Periodo").agg(F.sum(_CENTS).alias(_CENTS))
-    totals = running_total(months, _CENTS, "_total", ["Periodo"], [PERSON, BUILDING])
-    return totals.select(PERSON, BUILDING, "Periodo", _amount(F.col("_total")).alias("SaldoActual"))
+    # charge and payment of one month, a row each, share their running total;
+    # the window comes first, so that one shuffle serves it and the grouping
+    totals = running_total(moves, _CENTS, "_total", ["Periodo"], [PERSON, BUILDING])
+    return totals.groupBy(PERSON, BUILDING, "Periodo").agg(_amount(F.max("_total")).alias("SaldoActual"))
 
 
 def financial_state(tables: Tables, period: dt.date | None = None) -> DataFrame:

@@ -69,14 +69,23 @@ def read_with_rejects(
         rejects = rejects.unionByName(
             repeated.select(record.alias("Registro"), F.lit(DUPLICATE).alias("Motivo"), "Veces")
         )
-    read = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
-    log = rejects.agg(
+    return Imported(valid, rejects, _log(rows, key, name))
+
+
+def _log(rows: DataFrame, key: Sequence[str], name: str) -> DataFrame:
+    """Counts of the lines read, taken in and set aside, from one pass over them."""
+    good = F.col("Motivo").isNull()
+    groups = rows.groupBy("Motivo", *[F.when(good, F.col(c)).alias(c) for c in key]).agg(
+        F.count(F.lit(1)).alias("_lines")
+    )
+    # with a key, the good lines under it leave one
+    taken = F.when(good, F.lit(1) if key else F.col("_lines")).otherwise(0)
+    return groups.agg(
         F.lit(name).alias("Origen"),
-        read.alias("Leidos"),
-        (read - F.coalesce(F.sum("Veces"), F.lit(0))).alias("Aceptados"),
-        F.coalesce(F.sum("Veces"), F.lit(0)).alias("Rechazados"),
+        F.coalesce(F.sum("_lines"), F.lit(0)).alias("Leidos"),
+        F.coalesce(F.sum(taken.cast("long")), F.lit(0)).alias("Aceptados"),
+        F.coalesce(F.sum(F.col("_lines") - taken), F.lit(0)).alias("Rechazados"),
     )
-    return Imported(valid, rejects, log)
 
 
 def _part_by_key(rows: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -89,10 +98,10 @@ def _part_by_key(rows: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFr
     """
     columns = rows.columns
     whole = F.struct(*columns)
+    smallest = F.min(whole).alias("_smallest")
+    kept = rows.groupBy(*key).agg(smallest).select("_smallest.*").select(*columns)
     copies = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    smallest = copies.groupBy(*key).agg(F.min(whole).alias("_smallest"))
-    kept = smallest.select("_smallest.*").select(*columns)
-    counted = copies.join(smallest, list(key)).withColumn(
+    counted = copies.join(copies.groupBy(*key).agg(smallest), list(key)).withColumn(
         "Veces", F.col("_copies") - whole.eqNullSafe(F.col("_smallest")).cast("long")
     )
     return kept, counted.where(F.col("Veces") > 0).select(*columns, "Veces")

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from strata.sources.tables import Tables
 
-# role: (partition columns, columns sorted within a file)
+# role: (directory columns, sort columns); only the calendar makes directories,
+# as buildings may be too many to have one each
 LAYOUTS = {
     "payment": (["Anio", "Mes"], ["Fecha"]),
-    "expense_ordinary": (["ConsorcioID"], ["Periodo"]),
-    "expense_extra": (["ConsorcioID"], ["Periodo"]),
-    "balance": (["ConsorcioID"], ["Periodo"]),
-    "unit": (["ConsorcioID"], ["PropietarioID"]),
+    "expense_ordinary": ([], ["ConsorcioID", "Periodo"]),
+    "expense_extra": ([], ["ConsorcioID", "Periodo"]),
+    "balance": ([], ["ConsorcioID", "Periodo"]),
+    "unit": ([], ["ConsorcioID", "PropietarioID"]),
     "account": ([], ["PersonaID"]),
     "person": ([], ["PersonaID"]),
     "building": ([], ["ConsorcioID"]),
@@ -29,17 +30,19 @@ def write_layout(
     sort_by: Sequence[str],
     mode: str = "errorifexists",
 ) -> None:
-    """Write Parquet in directories by ``partition_by``, files sorted by ``sort_by``.
+    """Write Parquet files sorted by ``sort_by``, in directories by ``partition_by``.
 
-    Rows are gathered by directory first, so that a task does not leave a file
-    in every directory. It is done by a rebalance, which splits a directory
-    that holds much of the table over many tasks, and merges small ones.
+    With directories, rows are first gathered by a rebalance, so that a task
+    does not leave a file in each; it splits a directory that holds much of the
+    table over many tasks. Without, each task takes a range of ``sort_by``, so
+    that a filter on it skips most files by their statistics; a random last
+    column splits a value that holds much of the table.
     """
-    writer = (
-        df.hint("rebalance", *partition_by)
-        .sortWithinPartitions(*partition_by, *sort_by)
-        .write.mode(mode)
-    )
+    if partition_by:
+        spread = df.hint("rebalance", *partition_by)
+    else:
+        spread = df.repartitionByRange(*sort_by, F.rand(0))
+    writer = spread.sortWithinPartitions(*partition_by, *sort_by).write.mode(mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 

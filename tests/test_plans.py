@@ -85,7 +85,7 @@ def test_payments_are_read_in_place_for_one_building(spark, crowd, tmp_path):
     assert "Anio#" in scan.split("PartitionFilters")[1]
     assert "PagoID" not in scan.split("ReadSchema")[1]
     units = next(line for line in text.splitlines() if "FileScan" in line and "PropietarioID" in line)
-    assert "ConsorcioID" in units.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "EqualTo(ConsorcioID,2)" in units.split("PushedFilters")[1]
     assert "SortMergeJoin" not in text
 
 

@@ -53,6 +53,27 @@ def test_layout_splits_a_hot_directory(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/t").count() == 200_000
 
 
+def test_layout_splits_a_hot_value(spark, tmp_path):
+    """Without directories each file holds a range, and a frequent value several files."""
+    df = spark.range(0, 200_000, numPartitions=16).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 50).otherwise(20).alias("g"), F.lit(1).alias("v")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_layout(df, f"{tmp_path}/t", [], ["g"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spans = []
+    for file in glob.glob(f"{tmp_path}/t/*.parquet"):
+        values = [r.g for r in spark.read.parquet(file).collect()]
+        assert values == sorted(values)
+        spans.append((values[0], values[-1]))
+    spans.sort()
+    assert len(spans) == 4 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert sum(low <= 20 <= high for low, high in spans) >= 3
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 200_000
+
+
 def test_xml_document(spark, small, tmp_path):
     df = plans.monthly_by_unit(small, 2025, 1)
     row_tag, root_tag = XML_COLLECTION_BY_UNIT
