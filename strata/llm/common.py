@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: What parts words: blank, tab, line feed, vertical tab, form feed, carriage return.
 GAP = r"[\x20\x09-\x0D]+"
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -50,12 +52,11 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def hexdigest(data: bytes, kind: str = "sha256") -> str:
-    import hashlib
-
-    return hashlib.new(kind, data).hexdigest()
-
-
-def batch_rows(spark: SparkSession, rows: int) -> None:
-    """Bound the rows of an Arrow batch, so whole long texts fit a task's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def word_lists(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a long text in lists of about ``size`` bytes of it each."""
+    at = 0
+    while at < len(data):
+        gap = _BLANK.search(data, at + size) if len(data) - at > size else None
+        end = gap.start() if gap else len(data)
+        yield data[at:end].split()
+        at = end

@@ -27,7 +27,22 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.withColumn("taken", F.col("copies") * F.col("size"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.simhash import near_groups
+
+    groups = near_groups(table(spark, sf_dir, "documents"))
+    return groups.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 REGISTRY = {
     f.__name__: f
-    for f in (op1_quality, op2_fingerprints, op5_mixing)
+    for f in (op1_quality, op2_fingerprints, op5_mixing, op6_toxicity, op7_simhash)
 }
