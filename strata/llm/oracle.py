@@ -123,4 +123,26 @@ SELECT doc_id, source, size, source_size, target,
 FROM copies
 """
 
-ORACLE = {"op1_quality": QUALITY, "op5_mixing": MIXING}
+_BITS = "".join(f"{i:04b}" for i in range(16))
+
+WARC = f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages
+), newest AS (
+  SELECT *, max(page_id) OVER (PARTITION BY sha) AS newest FROM p
+), bits AS (
+  SELECT *, array_to_string(list_transform(range(40),
+    lambda i: substr('{_BITS}', (4 * (position(sha[(i + 1)::INT] IN '0123456789abcdef') - 1) + 1)::INT, 4)), '') AS b
+  FROM newest
+)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (1 + ('0b' || substr(b, (5 * i + 1)::INT, 5))::INT), 1)), '')
+    AS payload_digest,
+  CASE WHEN newest IS NULL OR page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = newest THEN NULL ELSE newest END AS refers_to,
+  true AS intact
+FROM bits
+"""
+
+ORACLE = {"op8_warc": WARC, "op1_quality": QUALITY, "op5_mixing": MIXING}

@@ -42,7 +42,21 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.warc import archive_and_read
+
+    return archive_and_read(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
+    )
+
+
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.pieces import encode_documents
+
+    return encode_documents(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     f.__name__: f
-    for f in (op1_quality, op2_fingerprints, op5_mixing, op6_toxicity, op7_simhash)
+    for f in (op1_quality, op2_fingerprints, op5_mixing, op6_toxicity, op7_simhash, op8_warc, op9_pieces)
 }
