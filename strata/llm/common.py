@@ -7,6 +7,8 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +62,27 @@ def word_lists(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
         end = gap.start() if gap else len(data)
         yield data[at:end].split()
         at = end
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str], rows: int = 20_000) -> Iterator[pd.DataFrame]:
+    """Sorted batches cut anew so that no group is parted, small ones joined to about ``rows``."""
+    kept: list[pd.DataFrame] = []
+    size = 0
+    for batch in batches:
+        if not len(batch):
+            continue
+        kept.append(batch)
+        size += len(batch)
+        if size < rows:
+            continue
+        joined = pd.concat(kept, ignore_index=True)
+        same = np.ones(len(joined), bool)
+        for key in keys:
+            same &= joined[key].to_numpy() == joined[key].iloc[-1]
+        cut = int(np.argmax(same))  # the last group may go on in the next batch
+        if cut:
+            yield joined.iloc[:cut].reset_index(drop=True)
+        kept = [joined.iloc[cut:]]
+        size = len(kept[0])
+    if kept:
+        yield pd.concat(kept, ignore_index=True)

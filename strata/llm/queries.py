@@ -20,6 +20,12 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.language import identify_languages
+
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.mixing import plan_mix
 
@@ -56,7 +62,23 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.repeats import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 REGISTRY = {
     f.__name__: f
-    for f in (op1_quality, op2_fingerprints, op5_mixing, op6_toxicity, op7_simhash, op8_warc, op9_pieces)
+    for f in (
+        op1_quality,
+        op2_fingerprints,
+        op3_language,
+        op5_mixing,
+        op6_toxicity,
+        op7_simhash,
+        op8_warc,
+        op9_pieces,
+        op10_repeats,
+    )
 }

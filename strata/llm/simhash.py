@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import saved, word_lists
+from strata.llm.common import saved, whole_groups, word_lists
 
 SEED = 42
 SHINGLE = 3
@@ -205,7 +205,6 @@ def _links(cells: DataFrame, blocks: int) -> DataFrame:
 
     def run(batches):
         pivots = Pivots(blocks)
-        kept: list[pd.DataFrame] = []
 
         def solve(rows: pd.DataFrame):
             change = (rows[cell].to_numpy()[1:] != rows[cell].to_numpy()[:-1]).any(1)
@@ -215,18 +214,8 @@ def _links(cells: DataFrame, blocks: int) -> DataFrame:
             signed = fps.view(np.int64)
             return pd.DataFrame({"u": signed[pairs[0]], "v": signed[pairs[1]]})
 
-        for batch in batches:
-            if not len(batch):
-                continue
-            rows = pd.concat([*kept, batch], ignore_index=True) if kept else batch
-            keys = rows[cell].to_numpy()
-            last = (keys == keys[-1]).all(1)
-            cut = int(np.argmax(last))  # the last cell may go on in the next batch
-            if cut:
-                yield solve(rows.iloc[:cut])
-            kept = [rows.iloc[cut:]]
-        if kept:
-            yield solve(kept[0])
+        for rows in whole_groups(batches, cell):
+            yield solve(rows)
 
     return (
         cells.repartition(*cell).sortWithinPartitions(*cell, "d0").mapInPandas(run, "u long, v long").distinct()
