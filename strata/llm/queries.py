@@ -26,6 +26,12 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op4_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.private import find_private
+
+    return find_private(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.mixing import plan_mix
 
@@ -74,6 +80,7 @@ REGISTRY = {
         op1_quality,
         op2_fingerprints,
         op3_language,
+        op4_private,
         op5_mixing,
         op6_toxicity,
         op7_simhash,
