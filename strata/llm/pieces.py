@@ -26,6 +26,7 @@ import re
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +34,9 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 #: Stretches and pairs that a worker remembers at most, and the longest such stretch.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 LONGEST = 48
+_ROWS = 256
 
 _STRETCH = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 _PAIRS, _PIECE, _TRAINER, _NORMALISER = 2, 1, 2, 3
@@ -101,8 +103,17 @@ class Transducer:
         self.squeeze = bool(normaliser.get(4, 1))
         if any(BLANK in p.lstrip(BLANK) for p in self.ids):
             raise ValueError("a piece goes on past a blank")
-        self.starts = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
-        self._weights: dict[tuple[str, str], bool] = {}
+        self.names = {i: p for p, i in self.ids.items()}
+        self.sizes = [0] * len(self.texts)
+        self.root: dict = {}
+        for piece, i in self.ids.items():
+            self.sizes[i] = len(piece)
+            node = self.root
+            for letter in piece:
+                node = node.setdefault(letter, {})
+            node[""] = i
+        self.longest = max(self.sizes)
+        self._weights: dict[int, bool] = {}
         self._edges: dict[tuple[str, int], list[tuple[str, float, float]]] = {}
         self._paths: dict[str, tuple[int, ...]] = {}
 
@@ -156,33 +167,48 @@ class Transducer:
             self._edges[key] = got
         return got
 
-    def joins(self, before: str, piece: str) -> bool:
-        """Whether the arc from one piece to the next has finite weight; "" is no piece.
+    def joins(self, before: int, piece: int) -> bool:
+        """Whether the arc from one piece to the next has finite weight; -1 is no piece.
 
         It is infinite if, while both merge, what stands at their common border
         would merge too: some part of each is there at one time, and their own
         merge is better than what takes the left one, and no worse than what
         takes the right one.
         """
-        key = (before, piece)
+        key = before << 32 | piece if before >= 0 else ~piece
         got = self._weights.get(key)
         if got is None:
             if len(self._weights) >= REMEMBERED:
                 self._weights.clear()
-            got = bool(self._edge(piece, 0)) and (not before or self._apart(before, piece))
+            right = self._edge(self.names[piece], 0)
+            got = bool(right) and (before < 0 or self._apart(self._edge(self.names[before], 1), right))
             self._weights[key] = got
         return got
 
-    def _apart(self, before: str, piece: str) -> bool:
+    def _apart(self, before: list, after: list) -> bool:
         scores = self.scores
-        for left, left_from, left_until in self._edge(before, 1):
-            for right, right_from, right_until in self._edge(piece, 0):
+        for left, left_from, left_until in before:
+            for right, right_from, right_until in after:
                 if left_from < right_until and right_from < left_until:
                     score = scores.get(left + right)
                     if score is not None and -score < left_until and -score <= right_until:
                         return False
         return True
 
+    def _arcs(self, stretch: str, at: int) -> list[int]:
+        """The pieces that go on from a position, short ones first; -1 is the byte fallback."""
+        node, found = self.root, []
+        for letter in stretch[at : at + self.longest]:
+            node = node.get(letter)
+            if node is None:
+                break
+            piece = node.get("")
+            if piece is not None:
+                found.append(piece)
+        if not found or self.sizes[found[0]] != 1:
+            found.insert(0, -1)
+        return found
+
     def shortest(self, stretch: str) -> list[int]:
         """The ids along the path of finite weight through one stretch.
 
@@ -190,46 +216,34 @@ class Transducer:
         shortest; long arcs are tried first, and a position that leads nowhere
         is never entered again.
         """
-        n = len(stretch)
-        ids, starts, joins = self.ids, self.starts, self.joins
-        dead = bytearray(n + 1)
-        path: list[tuple[int, str, list[int]]] = []  # position, piece that leads here, ends not tried yet
-
-        def ends(at: int) -> list[int]:
-            found = []
-            for end in range(at + 1, n + 1):
-                piece = stretch[at:end]
-                if piece not in starts:
-                    break
-                if piece in ids:
-                    found.append(end)
-            return found if found and found[0] == at + 1 else [at + 1, *found]
-
-        path.append((0, "", ends(0)))
-        while path[-1][0] < n:
-            at, before, left = path[-1]
+        n, sizes, joins = len(stretch), self.sizes, self.joins
+        weights = self._weights
+        at, before = 0, -1
+        left = self._arcs(stretch, 0)
+        path: list[tuple[int, int, list[int]]] = []
+        dead: set[int] = set()
+        while at < n:
             while left:
-                end = left.pop()
-                if dead[end]:
-                    continue
-                piece = stretch[at:end]
-                if piece not in ids:
-                    piece = ""  # a fallback arc; nothing merges across it
-                elif not joins(before, piece):
+                piece = left.pop()
+                end = at + (sizes[piece] if piece >= 0 else 1)
+                if end in dead:
                     continue
-                path.append((end, piece, ends(end)))
+                if piece >= 0:  # nothing merges across a fallback arc
+                    fits = weights.get(before << 32 | piece if before >= 0 else ~piece)
+                    if not (joins(before, piece) if fits is None else fits):
+                        continue
+                path.append((at, before, left))
+                at, before, left = end, piece, self._arcs(stretch, end)
                 break
             else:
-                dead[at] = 1
-                path.pop()
+                dead.add(at)
+                at, before, left = path.pop()
         out: list[int] = []
-        at = 0
-        for end, piece, _ in path[1:]:
-            if piece:
-                out.append(ids[piece])
+        for (start, _, _), piece in zip(path, [*(p for _, p, _ in path[1:]), before], strict=True):
+            if piece >= 0:
+                out.append(piece)
             else:
-                out.extend(self.byte_ids[b] for b in stretch[at:end].encode())
-            at = end
+                out.extend(self.byte_ids[b] for b in stretch[start].encode())
         return out
 
     def encode(self, text: str) -> array:
@@ -270,7 +284,7 @@ def compiled(model: bytes) -> Transducer:
 
 
 def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """doc_id, ids, n_tokens, and SHA-256 of ids and of the decoded text per document.
+    """doc_id, ids, n_tokens, and SHA-256 of ids (as 32-bit numbers) and of the decoded text.
 
     ``exact`` tells whether decoding gives the text again, which a U+2581 in it
     or blanks that the model squeezes prevent. A null text counts as empty and
@@ -282,23 +296,25 @@ def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
     def run(batches):
         machine = compiled(model.value)
         for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                text = text or ""
-                ids = machine.encode(text)
-                back = machine.decode(ids)
-                rows.append(
-                    (
-                        ids,
-                        len(ids),
-                        hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
-                        hashlib.sha256(back.encode()).hexdigest(),
-                        back == text,
+            for low in range(0, len(batch), _ROWS):
+                part = batch.iloc[low : low + _ROWS]
+                rows = []
+                for text in part["text"]:
+                    text = text or ""
+                    ids = machine.encode(text)
+                    back = machine.decode(ids)
+                    rows.append(
+                        (
+                            np.frombuffer(ids, np.int32),
+                            len(ids),
+                            hashlib.sha256(ids.tobytes()).hexdigest(),
+                            hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(),
+                            back == text,
+                        )
                     )
-                )
-            out = pd.DataFrame(rows, columns=["ids", "n_tokens", "ids_sha256", "decoded_sha256", "exact"])
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
+                out = pd.DataFrame(rows, columns=["ids", "n_tokens", "ids_sha256", "decoded_sha256", "exact"])
+                out.insert(0, "doc_id", part["doc_id"].to_numpy())
+                yield out
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     return rows.mapInPandas(

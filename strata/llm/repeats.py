@@ -145,7 +145,7 @@ def _documents(docs: DataFrame) -> DataFrame:
     both are one document.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc"), F.hash(text).cast("bigint").alias("mark"), text.alias("text"))
 
 
 def anchors(documents: DataFrame) -> DataFrame:
@@ -274,9 +274,9 @@ _SPAN = "doc long, mark long, low long, high long"
 
 
 def _contexts(hard: DataFrame, documents: DataFrame) -> DataFrame:
-    """(gram, doc, mark, at, before, around) with the bytes around anchors, from the texts."""
+    """(gram, doc, mark, at, before, around, contexts) with the bytes around anchors, from the texts."""
     wanted = hard.groupBy(F.col("doc").alias("_doc"), F.col("mark").alias("_mark")).agg(
-        F.collect_list(F.struct("gram", "at")).alias("wanted")
+        F.collect_list(F.struct("gram", "at", "contexts")).alias("wanted")
     )
 
     def run(batches):
@@ -287,13 +287,17 @@ def _contexts(hard: DataFrame, documents: DataFrame) -> DataFrame:
                 for place in places:
                     at = place["at"]
                     low = max(0, at - REACH)
-                    rows.append((place["gram"], doc, mark, at, at - low, data[low : at + GRAM + REACH]))
-            yield pd.DataFrame(rows, columns=["gram", "doc", "mark", "at", "before", "around"])
+                    rows.append(
+                        (place["gram"], doc, mark, at, at - low, data[low : at + GRAM + REACH], place["contexts"])
+                    )
+            yield pd.DataFrame(rows, columns=["gram", "doc", "mark", "at", "before", "around", "contexts"])
 
     joined = documents.join(
         wanted, (F.col("doc") == F.col("_doc")) & (F.col("mark") == F.col("_mark"))
     ).select("doc", "mark", "text", "wanted")
-    return joined.mapInPandas(run, "gram long, doc long, mark long, at long, before long, around binary")
+    return joined.mapInPandas(
+        run, "gram long, doc long, mark long, at long, before long, around binary, contexts long"
+    )
 
 
 def _solve(rows: DataFrame) -> DataFrame:
@@ -329,7 +333,7 @@ def _split(rows: DataFrame) -> DataFrame:
                     }
                 )
 
-    strings = saved(rows.mapInPandas(run, "key binary, doc long, mark long, low long"), "repeat-strings")
+    strings = rows.mapInPandas(run, "key binary, doc long, mark long, low long")
     place = F.struct("doc", "mark", "low")
     first = strings.groupBy(F.col("key").alias("_key")).agg(F.min(place).alias("_first"))
     return (
@@ -354,11 +358,11 @@ def repeated_spans(documents: DataFrame, crowd: int = CROWD) -> DataFrame:
     )
     several = first.groupBy(F.col("gram").alias("_gram")).agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1")
     hard = first.join(several, F.col("gram") == F.col("_gram")).select("gram", "first.*", "contexts")
-    few = _solve(_contexts(hard.where(F.col("contexts") <= crowd), documents))
-    spans = whole.unionByName(few)
-    if not hard.where(F.col("contexts") > crowd).isEmpty():
-        spans = spans.unionByName(_split(_contexts(hard.where(F.col("contexts") > crowd), documents)))
-    return spans
+    # all parts are one query, so the texts are shuffled once for contexts and result
+    around = _contexts(hard, documents)
+    few = _solve(around.where(F.col("contexts") <= crowd).drop("contexts"))
+    many = _split(around.where(F.col("contexts") > crowd).drop("contexts"))
+    return whole.unionByName(few).unionByName(many)
 
 
 def cut(data: bytes, spans) -> tuple[bytes, int]:
