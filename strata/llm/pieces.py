@@ -23,7 +23,6 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +33,9 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 #: Stretches and pairs that a worker remembers at most, and the longest such stretch.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
 LONGEST = 48
+_AHEAD = 7
 _ROWS = 256
 
 _STRETCH = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
@@ -67,6 +67,26 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         yield tag >> 3, value
 
 
+class _Paths(dict):
+    """Ids, as bytes, by stretch; what was not met for long is forgotten and computed anew."""
+
+    def __init__(self, machine: Transducer) -> None:
+        super().__init__()
+        self.machine = machine
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, stretch: str) -> bytes:
+        ids = self.old.get(stretch)
+        if ids is None:
+            ids = np.array(self.machine.shortest(stretch), np.int32).tobytes()
+        if len(stretch) <= LONGEST:
+            if len(self) >= REMEMBERED // 2:
+                self.old = dict(self)
+                self.clear()
+            self[stretch] = ids
+        return ids
+
+
 class Transducer:
     """The composed machine of one model file, given as bytes."""
 
@@ -115,7 +135,8 @@ class Transducer:
         self.longest = max(self.sizes)
         self._weights: dict[int, bool] = {}
         self._edges: dict[tuple[str, int], list[tuple[str, float, float]]] = {}
-        self._paths: dict[str, tuple[int, ...]] = {}
+        self._known: dict[str, tuple[int, ...]] = {}
+        self._paths = _Paths(self)
 
     def normalise(self, text: str) -> str:
         """The normaliser's output; an empty text stays empty."""
@@ -195,18 +216,32 @@ class Transducer:
                         return False
         return True
 
-    def _arcs(self, stretch: str, at: int) -> list[int]:
-        """The pieces that go on from a position, short ones first; -1 is the byte fallback."""
-        node, found = self.root, []
+    def _arcs(self, stretch: str, at: int) -> tuple[int, ...]:
+        """The pieces that go on from a position, long ones first; -1 is the byte fallback.
+
+        Few go on past ``_AHEAD`` letters, so the letters up to there mostly
+        tell, and are remembered.
+        """
+        ahead = stretch[at : at + _AHEAD]
+        found = self._known.get(ahead)
+        if found is not None:
+            return found
+        node, arcs, walked = self.root, [], 0
         for letter in stretch[at : at + self.longest]:
             node = node.get(letter)
             if node is None:
                 break
+            walked += 1
             piece = node.get("")
             if piece is not None:
-                found.append(piece)
-        if not found or self.sizes[found[0]] != 1:
-            found.insert(0, -1)
+                arcs.append(piece)
+        if not arcs or self.sizes[arcs[0]] != 1:
+            arcs.insert(0, -1)
+        found = tuple(reversed(arcs))
+        if walked < len(ahead) or len(ahead) < _AHEAD:
+            if len(self._known) >= REMEMBERED:
+                self._known.clear()
+            self._known[ahead] = found
         return found
 
     def shortest(self, stretch: str) -> list[int]:
@@ -216,53 +251,47 @@ class Transducer:
         shortest; long arcs are tried first, and a position that leads nowhere
         is never entered again.
         """
-        n, sizes, joins = len(stretch), self.sizes, self.joins
-        weights = self._weights
-        at, before = 0, -1
-        left = self._arcs(stretch, 0)
-        path: list[tuple[int, int, list[int]]] = []
+        n, sizes, weight, arcs = len(stretch), self.sizes, self._weights.get, self._arcs
+        at, before, tried, found = 0, -1, 0, arcs(stretch, 0)
+        path: list[tuple[int, int, int, tuple[int, ...]]] = []
         dead: set[int] = set()
         while at < n:
-            while left:
-                piece = left.pop()
-                end = at + (sizes[piece] if piece >= 0 else 1)
-                if end in dead:
-                    continue
-                if piece >= 0:  # nothing merges across a fallback arc
-                    fits = weights.get(before << 32 | piece if before >= 0 else ~piece)
-                    if not (joins(before, piece) if fits is None else fits):
+            for number in range(tried, len(found)):
+                piece = found[number]
+                if piece < 0:
+                    end = at + 1  # nothing merges across a fallback arc
+                    if end in dead:
+                        continue
+                else:
+                    end = at + sizes[piece]
+                    if end in dead:
                         continue
-                path.append((at, before, left))
-                at, before, left = end, piece, self._arcs(stretch, end)
+                    fits = weight(before << 32 | piece if before >= 0 else ~piece)
+                    if not (self.joins(before, piece) if fits is None else fits):
+                        continue
+                path.append((at, before, number + 1, found))
+                at, before, tried, found = end, piece, 0, arcs(stretch, end)
                 break
             else:
                 dead.add(at)
-                at, before, left = path.pop()
+                at, before, tried, found = path.pop()
+        path.append((at, before, 0, ()))
         out: list[int] = []
-        for (start, _, _), piece in zip(path, [*(p for _, p, _ in path[1:]), before], strict=True):
+        for (start, _, _, _), (_, piece, _, _) in zip(path, path[1:], strict=False):
             if piece >= 0:
                 out.append(piece)
             else:
-                out.extend(self.byte_ids[b] for b in stretch[start].encode())
+                out.extend(self.byte_ids[b] for b in stretch[start].encode("utf-8", "surrogatepass"))
         return out
 
-    def encode(self, text: str) -> array:
-        paths, out = self._paths, array("i")
-        for stretch in _STRETCH.findall(self.normalise(text)):
-            path = paths.get(stretch)
-            if path is None:
-                path = self.shortest(stretch)
-                if len(stretch) <= LONGEST:
-                    if len(paths) >= REMEMBERED:
-                        paths.clear()
-                    paths[stretch] = tuple(path)
-            out.extend(path)
-        return out
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text."""
+        stretches = _STRETCH.findall(self.normalise(text))
+        return np.frombuffer(b"".join(map(self._paths.__getitem__, stretches)), np.int32)
 
     def decode(self, ids) -> str:
         """The text of a row of ids; bytes that are no character become U+FFFD each."""
-        texts = self.texts
-        text = b"".join([texts[i] for i in ids]).decode("utf-8", "replace").replace(BLANK, " ")
+        text = b"".join(map(self.texts.__getitem__, ids)).decode("utf-8", "replace").replace(BLANK, " ")
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
@@ -302,10 +331,10 @@ def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
                 for text in part["text"]:
                     text = text or ""
                     ids = machine.encode(text)
-                    back = machine.decode(ids)
+                    back = machine.decode(ids.tolist())
                     rows.append(
                         (
-                            np.frombuffer(ids, np.int32),
+                            ids,
                             len(ids),
                             hashlib.sha256(ids.tobytes()).hexdigest(),
                             hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(),
