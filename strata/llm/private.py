@@ -16,12 +16,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from strata.llm import tagger
 from strata.llm.tagger import KINDS, NEVER, TAGS
@@ -387,11 +389,9 @@ def redact_private(docs: DataFrame) -> DataFrame:
     """``docs`` with every found span replaced; other columns stay."""
     net = docs.sparkSession.sparkContext.broadcast(train(docs))
 
-    def run(texts):
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series([redact(t, e) for t, (_, e) in zip(batch, find(net.value, batch), strict=True)])
 
-    from pyspark.sql.types import StringType
-
     cleaned = F.pandas_udf(run, StringType())
     return docs.withColumn("text", cleaned("text"))

@@ -25,7 +25,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import saved, whole_groups, word_lists
@@ -71,19 +71,23 @@ def simhash(text: str | None) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) with the fingerprint as a signed long."""
+    """(doc_id, mark, fp): a hash of the text, and its fingerprint as a signed long."""
 
     def run(batches):
         for batch in batches:
             fps = np.array([simhash(t) for t in batch["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "mark": batch["mark"], "fp": fps})
 
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    return rows.mapInPandas(run, "doc_id string, fp long").select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "fp"
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), mark().alias("mark"), "text")
+    return rows.mapInPandas(run, "doc_id string, mark long, fp long").withColumn(
+        "doc_id", F.col("doc_id").cast("bigint")
     )
 
 
+def mark():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 class Pivots:
     """Reference fingerprints, and the distances to them."""
 
@@ -245,13 +249,8 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
     raise RuntimeError(f"links did not settle in {most} rounds")
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id): the least doc_id that a document reaches over links.
-
-    Null and empty texts have fingerprint 0 and link like any other; equal rows
-    are in one group. A group of null ids only has a null component. Other
-    columns are ignored.
-    """
+def _grouped(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, fp, root, component_id) per row; the root is a group's least fingerprint."""
     prints = saved(fingerprints(docs), "simhash")
     nodes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     blocks = blocks_for(nodes.count())
@@ -261,5 +260,35 @@ def near_groups(docs: DataFrame) -> DataFrame:
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(named, "root").select(F.col("fp").alias("_fp"), "component_id")
-    return prints.join(classes, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
+    classes = rooted.join(named, "root").select(F.col("fp").alias("_fp"), "root", "component_id")
+    return prints.join(classes, F.col("fp") == F.col("_fp")).drop("_fp")
+
+
+def near_groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp, component_id): the least doc_id that a document reaches over links.
+
+    Null and empty texts have fingerprint 0 and link like any other; equal rows
+    are in one group. A group of null ids only has a null component. Other
+    columns are ignored.
+    """
+    return _grouped(docs).select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One document of each group with all its columns: that of the least id, null ids last.
+
+    Of rows that share this id, the first by hash of the text stays, and of
+    equal ones any.
+    """
+    keepers = (
+        _grouped(docs)
+        .groupBy("root")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("k"))
+        .select(F.col("k.doc_id").alias("_id"), F.col("k.mark").alias("_mark"))
+    )
+    # two groups may keep rows that share id and mark only if they are one text, and so one group
+    kept = docs.withColumn("_own", mark()).join(
+        keepers, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_mark"))
+    )
+    first = Window.partitionBy("doc_id", "_own").orderBy(*[c for c in docs.columns if c != "text"])
+    return kept.withColumn("_no", F.row_number().over(first)).where("_no = 1").select(*docs.columns)

@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 POSITIVES = 2000
 UNLABELLED = 8000
@@ -224,3 +225,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents whose score is below ``threshold``, with all their columns."""
+    weights, bias = train(docs.select("doc_id", "text"), labels)
+
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        score = scorer(weights, bias)
+        for batch in texts:
+            yield pd.Series([score(t) for t in batch], dtype="float64")
+
+    return docs.where(F.pandas_udf(run, DoubleType())("text") < threshold)
