@@ -92,6 +92,8 @@ def _predict(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
 
 def build(counts: pd.DataFrame, cells: int = CELLS) -> Trees:
     languages = sorted(counts["lang"].unique())
+    if not languages:
+        return Trees([], np.zeros(256, np.int64), np.zeros(1, np.int32), np.zeros((1, 0), np.float32))
     gram = counts["gram"].to_numpy(np.int64)
     n = counts["n"].to_numpy(np.float64)
     used = np.unique(gram & 255)
