@@ -121,7 +121,9 @@ def build(counts: pd.DataFrame, cells: int = CELLS) -> Trees:
     shorter_three = nodes.reshape(-1)[kept_three]
     nodes.reshape(-1)[kept_three] = width + len(kept_two) + np.arange(len(kept_three))
     bits = np.empty((len(languages), width + len(kept), width), np.float32)
+    unmet = 256 - len(used)  # bytes that share symbol 0, and its probability
     base = np.full(width, 1 / 256)
+    base[0] = unmet / 256
     for k in range(len(languages)):
         own = which == k
 
@@ -137,6 +139,7 @@ def build(counts: pd.DataFrame, cells: int = CELLS) -> Trees:
         upto = np.concatenate([one, second])
         third = _predict(table(three, kept_three), upto[shorter_three])
         bits[k] = -np.log2(np.maximum(np.concatenate([upto, third]), 1e-30))
+        bits[k, :, 0] += np.log2(max(unmet, 1))
     return Trees(languages, symbols, nodes.reshape(-1), np.ascontiguousarray(bits.transpose(1, 2, 0)).reshape(-1, len(languages)))
 
 
