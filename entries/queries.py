@@ -7,6 +7,8 @@ ending in ``_one`` is the same report with the parameters a user gives.
 from __future__ import annotations
 
 import datetime as dt
+import re
+import tempfile
 from collections.abc import Callable
 from decimal import Decimal
 
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from strata import operators as op
-from strata import plans
+from strata import plans, sources
 from strata.functions import (
     concept_is,
     format_dmy,
@@ -37,7 +39,6 @@ from strata.sources import (
     append_report,
     read_report,
     read_xml,
-    shared_path,
     write_tables,
     write_xml,
 )
@@ -46,6 +47,15 @@ from strata.sources.standins import stand_ins
 START, END = dt.date(1996, 1, 1), dt.date(1998, 6, 30)
 CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """As the library's; a local session without a shared folder gets a temporary one."""
+    master = spark.conf.get("spark.master", "")
+    if not spark.conf.get("spark.checkpoint.dir", None) and re.match(r"local(\[|$)", master):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-"))
+    return sources.shared_path(spark, name)
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 

@@ -45,24 +45,30 @@ def next_in_group(
 ) -> DataFrame:
     """``date`` of the next row of the group, ordered by date, then ``row_key``.
 
-    ``row_key`` identifies a row. A ``lead`` window would sort a whole group in
+    Rows equal in all columns count as often as they stand. A ``lead`` window would sort a whole group in
     one task, however large. Here only the last row of each (group, date) looks
     further, to the group's next date; every other row is followed by a row of
     its own date. So the window runs over the distinct dates of a group, whose
     number the calendar bounds, and the rows are joined on their own key, which
     spreads a hot group over all tasks. NULL groups form one group.
     """
-    # both uses read this one exchange; the struct carries every column so
-    # that column pruning leaves the two plans alike
-    rows = df.repartition(*row_key)
     others = [c for c in df.columns if c not in (*group, date, *row_key)]
-    last = F.max(F.struct(*row_key, *others)).alias("_last")
+    # both uses read this one exchange
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).cast("int").alias("_times"))
+    whole = [*row_key, *others]
+    last = F.max(F.struct(*whole)).alias("_last")
     following = F.lead(date).over(Window.partitionBy(*group).orderBy(date))
     days = rows.groupBy(*group, date).agg(last).withColumn("_following", following)
     days = days.select(
-        *[F.col("_last").getField(c).alias(c) for c in row_key], "_following", F.lit(True).alias("_is_last")
-    )
-    return rows.join(days, list(row_key), "left").select(
-        *[rows[c] for c in df.columns],
-        F.when(F.col("_is_last"), F.col("_following")).otherwise(F.col(date)).alias(alias),
+        *[F.col(c).alias(f"_{i}") for i, c in enumerate([*group, date])],
+        *[F.col("_last").getField(c).alias(f"_{i}") for i, c in enumerate(whole, len(group) + 1)],
+        "_following",
+        F.lit(True).alias("_is_last"),
     )
+    same = F.lit(True)
+    for i, c in enumerate([*group, date, *whole]):
+        same = same & rows[c].eqNullSafe(days[f"_{i}"])
+    ends = F.when(F.col("_is_last"), F.col("_following")).otherwise(F.col(date))
+    # all but the last of equal rows are followed by a row of their own date
+    each = F.concat(F.array_repeat(F.col(date), F.col("_times") - 1), F.array(ends))
+    return rows.join(days, same, "left").select(*[rows[c] for c in df.columns], F.explode(each).alias(alias))

@@ -88,7 +88,9 @@ def collect_by(
     links = unit_people(tables, building_id, label).groupBy(PERSON, *by).agg(
         F.count(F.lit(1)).cast("decimal(10,0)").alias(_LINKS)
     )
-    payments = date_range(tables.payment, "Fecha", start, end, half_open)
+    payments = date_range(
+        tables.payment, "Fecha", start, end, half_open, tables.directories("payment")
+    )
     payments = optional_equal(payments, "Concepto", concept).select(
         ACCOUNT,
         *[column.alias(name) for name, column in periods.items()],
@@ -145,7 +147,9 @@ def payments_by_unit(
     people = unit_people(tables, building_id, label).select(
         PERSON, "ConsorcioID", "UnidadFuncionalID", UNIT_NAME
     )
-    payments = date_range(tables.payment, "Fecha", start, end, half_open).select(
+    payments = date_range(
+        tables.payment, "Fecha", start, end, half_open, tables.directories("payment")
+    ).select(
         "PagoID", ACCOUNT, "Fecha", "Importe"
     )
     small = is_small(measured_bytes(people))

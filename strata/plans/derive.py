@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.fixed import CONCEPT_EXTRAORDINARY, CONCEPT_ORDINARY
-from strata.operators import explode_keys, running_total
+from strata.operators import date_range, explode_keys, running_total
 from strata.plans.collection import ACCOUNT, AMOUNT_TYPE, PERSON, collect_by
 from strata.plans.expenses import monthly_expenses
 from strata.sources.tables import Tables
@@ -26,14 +26,15 @@ def _month(column: str):
     return F.trunc(column, "month")
 
 
-def _collected(tables: Tables, concept: str | None = None) -> DataFrame:
-    """Collection per building and month, as the reports count it."""
+def _collected(tables: Tables, concept: str | None = None, end: dt.date | None = None) -> DataFrame:
+    """Collection per building and month, as the reports count it, up to ``end``."""
     return collect_by(
         tables,
         {"Periodo": _month("Fecha")},
         {"Importe": F.col("Importe")},
         by=[BUILDING],
         concept=concept,
+        end=end,
     ).where(F.col("Importe").isNotNull())
 
 
@@ -52,38 +53,52 @@ def derive_ordinary_expenses(tables: Tables, category: str) -> DataFrame:
     )
 
 
-def _building_months(tables: Tables) -> DataFrame:
-    expenses = monthly_expenses(tables)
+def _month_end(period: dt.date | None) -> dt.date | None:
+    """The last day of the month that begins with ``period``."""
+    if period is None:
+        return None
+    return (period.replace(day=1) + dt.timedelta(days=31)).replace(day=1) - dt.timedelta(days=1)
+
+
+def _building_months(tables: Tables, period: dt.date | None = None) -> DataFrame:
+    expenses = monthly_expenses(tables, end=period)
     return expenses.select(
         BUILDING, F.make_date("Anio", "Mes", F.lit(1)).alias("Periodo"), "TotalGastos"
     )
 
 
-def _charges(tables: Tables, weight: str | None) -> DataFrame:
-    """Each owner's share of the month's expense, by units owned or their weight."""
-    units = tables.unit.withColumn("_weight", F.col(weight) if weight else F.lit(1))
-    whole = units.groupBy(BUILDING).agg(F.sum("_weight").alias("_whole"))
+def _charges(tables: Tables, weight: str | None, period: dt.date | None) -> DataFrame:
+    """Each owner's share of the month's expense, by units owned or their weight.
+
+    Weights count to six decimals, and as whole millionths, so that a share is
+    exact until it is rounded to cents, once per owner and month.
+    """
+    millionths = F.round((F.col(weight) if weight else F.lit(1)).cast("decimal(24,6)"), 6) * 1_000_000
+    units = tables.unit.withColumn("_weight", millionths.cast("decimal(17,0)"))
+    whole = units.groupBy(BUILDING).agg(F.sum("_weight").cast("decimal(18,0)").alias("_whole"))
     owned = (
         units.where(F.col("PropietarioID").isNotNull())
         .groupBy(BUILDING, F.col("PropietarioID").alias(PERSON))
-        .agg(F.sum("_weight").alias("_owned"))
+        .agg(F.sum("_weight").cast("decimal(17,0)").alias("_owned"))
     )
-    # cents per unit of weight, and what is left over, once per building and
-    # month; each owner's part is then whole cents, rounded half up
-    months = _building_months(tables).join(whole, BUILDING).select(
+    months = _building_months(tables, period).join(whole, BUILDING).where("_whole > 0").select(
         BUILDING,
         "Periodo",
         "_whole",
-        F.expr("cast(100 * TotalGastos as bigint) div _whole").alias("_each"),
-        F.expr("cast(100 * TotalGastos as bigint) % _whole").alias("_over"),
+        F.expr("cast(200 * abs(TotalGastos) as decimal(20,0))").alias("_twice"),
+        F.expr("cast(sign(TotalGastos) as bigint)").alias("_sign"),
     )
-    cents = F.expr("_each * _owned + (2 * _over * _owned + _whole) div (2 * _whole)")
+    # half a cent goes away from zero
+    cents = F.expr("_sign * ((_twice * _owned + _whole) div (2 * _whole))")
     return owned.join(months, BUILDING).select(PERSON, BUILDING, "Periodo", cents.alias(_CENTS))
 
 
-def _credits(tables: Tables) -> DataFrame:
+def _credits(tables: Tables, period: dt.date | None) -> DataFrame:
     """Payments of a person, once in each building where the person owns or rents."""
-    paid = tables.payment.where(F.col("Importe").isNotNull()).select(
+    payments = date_range(
+        tables.payment, "Fecha", end=_month_end(period), directories=tables.directories("payment")
+    )
+    paid = payments.where(F.col("Importe").isNotNull()).select(
         ACCOUNT, _month("Fecha").alias("Periodo"), "Importe"
     )
     by_person = (
@@ -111,11 +126,10 @@ def prorate(tables: Tables, period: dt.date | None = None, weight: str | None =
     charge or a payment. With ``period``, the first day of a month, that month
     alone is computed, without the window.
     """
-    moves = _charges(tables, weight).unionByName(_credits(tables))
+    moves = _charges(tables, weight, period).unionByName(_credits(tables, period))
     if period is not None:
         return (
-            moves.where(F.col("Periodo") <= F.lit(period))
-            .groupBy(PERSON, BUILDING)
+            moves.groupBy(PERSON, BUILDING)
             .agg(F.max("Periodo").alias("Periodo"), _amount(F.sum(_CENTS)).alias("SaldoActual"))
             .where(F.col("Periodo") == F.lit(period))
         )
@@ -128,10 +142,10 @@ def prorate(tables: Tables, period: dt.date | None = None, weight: str | None =
 def financial_state(tables: Tables, period: dt.date | None = None) -> DataFrame:
     """Income, expense, net and closing balance per building and month."""
     none = F.lit(0).cast(AMOUNT_TYPE)
-    income = _collected(tables).select(
+    income = _collected(tables, end=_month_end(period)).select(
         BUILDING, "Periodo", F.col("Importe").alias("Ingresos"), none.alias("Egresos")
     )
-    expense = _building_months(tables).select(
+    expense = _building_months(tables, period).select(
         BUILDING, "Periodo", none.alias("Ingresos"), F.col("TotalGastos").cast(AMOUNT_TYPE).alias("Egresos")
     )
     months = (
@@ -143,5 +157,12 @@ def financial_state(tables: Tables, period: dt.date | None = None) -> DataFrame:
         )
         .withColumn("Resultado", (F.col("Ingresos") - F.col("Egresos")).cast(AMOUNT_TYPE))
     )
-    state = running_total(months, "Resultado", "SaldoCierre", ["Periodo"], [BUILDING])
-    return state if period is None else state.where(F.col("Periodo") == F.lit(period))
+    if period is None:
+        return running_total(months, "Resultado", "SaldoCierre", ["Periodo"], [BUILDING])
+    own = F.col("Periodo") == F.lit(period)
+    shown = [F.max(F.when(own, F.col(c))).alias(c) for c in ("Ingresos", "Egresos", "Resultado")]
+    return (
+        months.groupBy(BUILDING)
+        .agg(F.max("Periodo").alias("Periodo"), *shown, F.sum("Resultado").alias("SaldoCierre"))
+        .where(own)
+    )

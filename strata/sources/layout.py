@@ -35,13 +35,14 @@ def write_layout(
     With directories, rows are first gathered by a rebalance, so that a task
     does not leave a file in each; it splits a directory that holds much of the
     table over many tasks. Without, each task takes a range of ``sort_by``, so
-    that a filter on it skips most files by their statistics; a random last
-    column splits a value that holds much of the table.
+    that a filter on it skips most files by their statistics; a hash of the row
+    comes last and splits a value that holds much of the table, and a task that
+    is run again deals its rows out as before.
     """
     if partition_by:
         spread = df.hint("rebalance", *partition_by)
     else:
-        spread = df.repartitionByRange(*sort_by, F.rand(0))
+        spread = df.repartitionByRange(*sort_by, F.xxhash64(*df.columns))
     writer = spread.sortWithinPartitions(*partition_by, *sort_by).write.mode(mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 

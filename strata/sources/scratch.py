@@ -2,21 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder the session names.
-
-    Without that setting only a local session, whose executors share the
-    machine, gets a temporary folder.
-    """
+    """A fresh path under the shared folder that ``spark.checkpoint.dir`` names."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="strata-")
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -69,6 +69,9 @@ SCHEMAS = {
 }
 
 
+DIRECTORIES = ("Anio", "Mes")
+
+
 def _role(name: str) -> property:
     return property(lambda self: self[name])
 
@@ -76,8 +79,9 @@ def _role(name: str) -> property:
 class Tables:
     """One DataFrame per role, opened on first use."""
 
-    def __init__(self, read: Callable[[str], DataFrame]):
+    def __init__(self, read: Callable[[str], DataFrame], laid_out: bool = False):
         self._read = read
+        self._laid_out = laid_out
         self._opened: dict[str, DataFrame] = {}
 
     def __getitem__(self, role: str) -> DataFrame:
@@ -85,6 +89,11 @@ class Tables:
             self._opened[role] = self._read(role)
         return self._opened[role]
 
+    def directories(self, role: str) -> tuple[str, str] | None:
+        """The year and month columns that a role's directories are named by, if it has such."""
+        found = set(self[role].columns) - set(SCHEMAS[role].fieldNames()) if self._laid_out else set()
+        return DIRECTORIES if set(DIRECTORIES) <= found else None
+
     payment = _role("payment")
     account = _role("account")
     unit = _role("unit")
@@ -97,7 +106,7 @@ class Tables:
     @classmethod
     def from_parquet(cls, spark: SparkSession, path: str) -> Tables:
         """Tables written as ``path/<role>``; the schema is given, not read from footers."""
-        return cls(lambda role: spark.read.schema(SCHEMAS[role]).parquet(f"{path}/{role}"))
+        return cls(lambda role: spark.read.schema(SCHEMAS[role]).parquet(f"{path}/{role}"), laid_out=True)
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, names: Mapping[str, str]) -> Tables:
