@@ -84,6 +84,15 @@ VIEWS = {role: _role_sql(role) for role in SOURCES} | {
                     Importe AS Ingresos, 0 AS Egresos FROM paid
                 UNION ALL SELECT ConsorcioID, Periodo, 0, Importe FROM expense) GROUP BY ALL)""",
 }
+# The same relations over accounts that two persons share, and over units of different weight
+VIEWS |= {
+    "account_shared": """SELECT NroClaveUniformeID, PersonaID FROM account
+        UNION ALL SELECT NroClaveUniformeID, PersonaID + 2 FROM account WHERE PersonaID % 3 = 0""",
+    "paid_shared": VIEWS["paid"].replace("JOIN account a", "JOIN account_shared a"),
+    "named_shared": VIEWS["named"].replace("FROM paid u", "FROM paid_shared u"),
+    "charge_weighted": VIEWS["charge"].replace("count(*) AS n", "sum(UnidadFuncionalID % 40 + 1) AS n"),
+    "move_weighted": VIEWS["move"].replace("FROM charge", "FROM charge_weighted"),
+}
 
 
 def _with_views(sql: str) -> str:
@@ -306,6 +315,21 @@ QUERIES = {
         (SELECT count(*) AS n FROM delivered), (SELECT cast(sum(Veces) AS BIGINT) AS r FROM reject)""",
     "import_json_expenses": """SELECT ConsorcioID, Periodo, Categoria, sum(Importe)::DOUBLE AS Importe
         FROM expense_ordinary GROUP BY ALL HAVING sum(Importe) <> 0""",
+    "import_json_rejects": """SELECT Motivo, count(*) AS Veces FROM (SELECT CASE
+            WHEN ConsorcioID = 7 THEN 'missing ConsorcioID'
+            WHEN Importe > 90000 THEN 'malformed ' || Categoria END AS Motivo FROM expense_ordinary)
+        WHERE Motivo IS NOT NULL GROUP BY ALL""",
+    "import_people_conflicts": """SELECT DNI, 'conflicting person' AS Motivo, cast(1 AS BIGINT) AS Veces
+        FROM person WHERE PersonaID % 2 = 1 AND PersonaID - 1 IN (SELECT PersonaID FROM person)""",
+    "assign_rejects": """SELECT Motivo, count(*) AS Veces FROM (SELECT CASE WHEN p IS NULL THEN 'unknown account'
+            WHEN u < 0 THEN 'unknown unit'
+            WHEN p <> max(p) OVER (PARTITION BY u) THEN 'surplus person' END AS Motivo
+        FROM (SELECT CASE WHEN Piso = '0' THEN -UnidadFuncionalID ELSE UnidadFuncionalID END AS u,
+            unnest([UnidadFuncionalID - UnidadFuncionalID % 2, CASE WHEN ConsorcioID % 5 <> 0 THEN 0 END]) AS p
+            FROM unit)) WHERE Motivo IS NOT NULL GROUP BY ALL""",
+    "import_buildings": "SELECT ConsorcioID, NombreDelConsorcio FROM building",
+    "payment_gaps_shared": _gaps("", True).replace("FROM named", "FROM named_shared"),
+    "prorate_weighted": _prorated().replace("FROM move", "FROM move_weighted"),
     "derive_extra_expenses": """SELECT ConsorcioID, cast(date_trunc('month', Fecha) AS DATE) AS Periodo,
         sum(Importe)::DOUBLE AS Importe FROM paid WHERE Concepto = 'EXTRAORDINARIO' GROUP BY ALL""",
     "derive_ordinary_expenses": """SELECT * FROM (SELECT ConsorcioID,

@@ -45,7 +45,6 @@ from strata.sources import (
 from strata.sources.standins import stand_ins
 
 START, END = dt.date(1996, 1, 1), dt.date(1998, 6, 30)
-CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -415,16 +414,83 @@ def _(spark, tables):
 
 @query("import_json_expenses")
 def _(spark, tables):
-    wide = op.pivot_sum(
-        tables.expense_ordinary, ["ConsorcioID", "Periodo"], "Categoria", "Importe", {c: c for c in CATEGORIES}
-    )
+    ids = ["ConsorcioID", "Periodo"]
     # a category without expense is no field at all
-    wide = wide.select(
-        "ConsorcioID", "Periodo", *[F.nullif(F.col(c), F.lit(0)).alias(c) for c in CATEGORIES]
+    sums = op.sum_by(tables.expense_ordinary, [*ids, "Categoria"], "Importe", "Importe").where("Importe <> 0")
+    fields = F.map_from_entries(F.collect_list(F.struct("Categoria", F.col("Importe").cast("string"))))
+    objects = sums.groupBy(*ids).agg(fields.alias("_fields"))
+    known = F.create_map(*[x for c in ids for x in (F.lit(c), F.col(c).cast("string"))])
+    path = shared_path(spark, "expenses_json")
+    objects.select(F.to_json(F.map_concat(known, "_fields"))).write.text(path)
+    return plans.import_expenses(spark, path)[0]
+
+
+@query("import_json_rejects")
+def _(spark, tables):
+    """A field per category and month; amounts over 90000 are miswritten, and those of building 7 lack it."""
+    amount = F.col("Importe").cast("string")
+    text = F.when(F.col("Importe") > 90000, F.concat(amount, F.lit("$"))).otherwise(amount)
+    building = F.when(F.col("ConsorcioID") != 7, F.col("ConsorcioID"))
+    objects = tables.expense_ordinary.select(
+        F.to_json(
+            F.map_concat(
+                F.create_map(F.lit("Periodo"), F.col("Periodo").cast("string")),
+                F.create_map(F.lit("ConsorcioID"), building.cast("string")),
+                F.create_map("Categoria", text),
+            )
+        )
     )
     path = shared_path(spark, "expenses_json")
-    wide.write.json(path)
-    return plans.import_expenses(spark, path, CATEGORIES)[0]
+    objects.write.text(path)
+    return (
+        plans.import_expenses(spark, path)[1].rejects.groupBy("Motivo").agg(F.sum("Veces").alias("Veces"))
+    )
+
+
+@query("import_people_conflicts")
+def _(spark, tables):
+    """Persons stand on a line per account; every fourth line names another document."""
+    lines = tables.person.withColumn("PersonaID", F.col("PersonaID") - F.col("PersonaID") % 2).withColumn(
+        "NroClaveUniformeID", F.col("DNI").cast("string")
+    )
+    shown = lines.select(*plans.loading.FILES["people"].fieldNames())
+    rejects = plans.import_people(spark, _write(shown, spark, "people"))[2].rejects
+    return rejects.select(F.get_json_object("Registro", "$.DNI").cast("long").alias("DNI"), "Motivo", "Veces")
+
+
+@query("assign_rejects")
+def _(spark, tables):
+    """Every unit is claimed by two accounts, one of them unknown in some buildings; some units are unknown."""
+    unit = F.when(F.col("Piso") == "0", -F.col("UnidadFuncionalID")).otherwise(F.col("UnidadFuncionalID"))
+    known = F.lpad(F.col("UnidadFuncionalID").cast("string"), 22, "0")
+    other = F.when(F.col("ConsorcioID") % 5 == 0, F.lit("none")).otherwise(F.lpad(F.lit("1"), 22, "0"))
+    lines = tables.unit.select(unit.alias("UnidadFuncionalID"), F.explode(F.array(known, other)).alias("NroClaveUniformeID"))
+    lines = lines.withColumn("EsInquilino", F.lit(False)).select(*plans.loading.FILES["assignments"].fieldNames())
+    path = _write(lines, spark, "assignments")
+    got = plans.assignment_rejects(tables.unit, plans.import_assignments(spark, path).valid, tables.account)
+    return got.groupBy("Motivo").agg(F.sum("Veces").alias("Veces"))
+
+
+@query("import_buildings")
+def _(spark, tables):
+    return plans.import_buildings(spark, _write(tables.building, spark, "buildings"))[0]
+
+
+@query("payment_gaps_shared")
+def _(spark, tables):
+    """Accounts that the person of the next even number shares."""
+    both = tables.account.unionByName(
+        tables.account.where("PersonaID % 3 = 0").withColumn("PersonaID", F.col("PersonaID") + 2)
+    )
+    shared = Tables.of(payment=tables.payment, unit=tables.unit, building=tables.building, account=both)
+    return plans.payment_gaps(shared)
+
+
+@query("prorate_weighted")
+def _(spark, tables):
+    weighed = tables.unit.withColumn("Porcentaje", (F.col("UnidadFuncionalID") % 40 + 1) / F.lit(16.0))
+    parts = {r: tables[r] for r in ("payment", "account", "expense_ordinary", "expense_extra")}
+    return plans.prorate(Tables.of(unit=weighed, **parts), weight="Porcentaje")
 
 
 # Derivations

@@ -18,7 +18,9 @@ from strata.plans.expenses import category_chart, category_expense, monthly_expe
 from strata.plans.gaps import payment_gaps
 from strata.plans.loading import (
     assign_people,
+    assignment_rejects,
     import_assignments,
+    import_buildings,
     import_expenses,
     import_payments,
     import_people,
@@ -27,6 +29,7 @@ from strata.plans.loading import (
 
 __all__ = [
     "assign_people",
+    "assignment_rejects",
     "category_chart",
     "category_expense",
     "collect_by",
@@ -35,6 +38,7 @@ __all__ = [
     "derive_ordinary_expenses",
     "financial_state",
     "import_assignments",
+    "import_buildings",
     "import_expenses",
     "import_payments",
     "import_people",

@@ -5,15 +5,15 @@ The file columns are this library's own definition, given as ``FILES``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructType
 
 from strata.functions.fixed import DATE_FORMAT
 from strata.plans.collection import ACCOUNT, PERSON
-from strata.sources.imports import Imported, read_with_rejects, wide_to_long
+from strata.sources.imports import Imported, move_to_rejects, read_amounts, read_with_rejects
 from strata.sources.tables import AMOUNT, SCHEMAS, Tables, schema
 
 FILES = {
@@ -27,6 +27,9 @@ FILES = {
     "payments": SCHEMAS["payment"],
 }
 
+CONFLICT = "conflicting person"
+UNKNOWN_ACCOUNT, UNKNOWN_UNIT, SURPLUS = "unknown account", "unknown unit", "surplus person"
+
 CSV = {"header": "true", "dateFormat": DATE_FORMAT}
 TXT = {"header": "true", "sep": "\t"}
 
@@ -39,13 +42,15 @@ def import_people(
         spark, path, "csv", FILES["people"], [PERSON, "DNI", ACCOUNT], [ACCOUNT], options, "people"
     )
     columns = SCHEMAS["person"].fieldNames()
-    # a person with several accounts stands on several lines; one is kept
-    person = (
-        got.valid.groupBy(PERSON)
-        .agg(F.min(F.struct(*columns)).alias("_person"))
-        .select("_person.*")
-    )
-    return person, got.valid.select(ACCOUNT, PERSON), got
+    # a person with several accounts stands on several lines, which have to agree;
+    # those that differ from the smallest are set aside, with their accounts
+    own = F.struct(*columns)
+    smallest = got.valid.groupBy(PERSON).agg(F.min(own).alias("_person"))
+    lines = got.valid.join(smallest, PERSON)
+    agrees = own.eqNullSafe(F.col("_person"))
+    bad = lines.where(~agrees).select(*got.valid.columns)
+    person = smallest.select("_person.*")
+    return person, lines.where(agrees).select(ACCOUNT, PERSON), move_to_rejects(got, bad, CONFLICT, "people")
 
 
 def import_units(
@@ -92,6 +97,39 @@ def assign_people(units: DataFrame, assignments: DataFrame, accounts: DataFrame)
     )
 
 
+def assignment_rejects(units: DataFrame, assignments: DataFrame, accounts: DataFrame) -> DataFrame:
+    """The assignments that ``assign_people`` does not use, with the reason and how often each stands.
+
+    Those of an unknown account or unit, and those of a person other than the
+    one taken for the side of the unit.
+    """
+    columns = assignments.columns
+    lines = assignments.groupBy(*columns).agg(F.count(F.lit(1)).alias("Veces"))
+    named = lines.join(accounts, ACCOUNT, "left")
+    known = units.select(F.col("UnidadFuncionalID"), F.lit(True).alias("_known")).distinct()
+    named = named.join(known, "UnidadFuncionalID", "left")
+    side = ["UnidadFuncionalID", "EsInquilino"]
+    taken = named.groupBy(*side).agg(F.max(PERSON).alias("_taken"))
+    judged = named.join(taken, side)
+    reason = (
+        F.when(F.col(PERSON).isNull(), UNKNOWN_ACCOUNT)
+        .when(F.col("_known").isNull(), UNKNOWN_UNIT)
+        .when(F.col(PERSON) != F.col("_taken"), SURPLUS)
+    )
+    return judged.withColumn("Motivo", reason).where(F.col("Motivo").isNotNull()).select(
+        F.to_json(F.struct(*columns)).alias("Registro"), "Motivo", "Veces"
+    )
+
+
+def import_buildings(
+    spark: SparkSession, path: str, options: Mapping[str, str] = CSV
+) -> tuple[DataFrame, Imported]:
+    """Buildings out of a file with a line per building."""
+    key = ["ConsorcioID"]
+    got = read_with_rejects(spark, path, "csv", SCHEMAS["building"], key, key, options, "buildings")
+    return got.valid, got
+
+
 def import_payments(
     spark: SparkSession, path: str, tables: Tables, options: Mapping[str, str] = CSV
 ) -> tuple[DataFrame, DataFrame, Imported]:
@@ -108,13 +146,12 @@ def import_payments(
 
 
 def import_expenses(
-    spark: SparkSession, path: str, categories: Sequence[str]
+    spark: SparkSession, path: str, document: bool = False
 ) -> tuple[DataFrame, Imported]:
-    """Ordinary expenses out of JSON lines with a field per category."""
-    ids = ["ConsorcioID", "Periodo"]
-    columns = StructType(
-        [SCHEMAS["expense_ordinary"][c] for c in ids]
-        + [StructField(c, AMOUNT) for c in categories]
-    )
-    got = read_with_rejects(spark, path, "json", columns, ids, (), None, "expenses")
-    return wide_to_long(got.valid, ids, categories), got
+    """Ordinary expenses out of JSON objects with a field per category, whatever its name.
+
+    Objects stand on lines; with ``document`` a file is one list of them.
+    """
+    ids = StructType([SCHEMAS["expense_ordinary"][c] for c in ("ConsorcioID", "Periodo")])
+    got = read_amounts(spark, path, ids, AMOUNT, document, "expenses")
+    return got.valid, got

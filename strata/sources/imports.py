@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 MALFORMED = "malformed"
 MISSING = "missing "
@@ -33,7 +33,8 @@ def _parse(
         # so miss a bad value in another; an expression parses whole lines
         lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
         return lines.select(F.from_json("value", full, options).alias("r")).select("r.*")
-    return spark.read.format(fmt).schema(full).options(**options).load(path)
+    # a header that names other columns, or in another order, is an error
+    return spark.read.format(fmt).schema(full).options(**{"enforceSchema": "false", **options}).load(path)
 
 
 def read_with_rejects(
@@ -107,6 +108,84 @@ def _part_by_key(rows: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFr
     return kept, counted.where(F.col("Veces") > 0).select(*columns, "Veces")
 
 
+def move_to_rejects(got: Imported, bad: DataFrame, reason: str, name: str) -> Imported:
+    """``got`` with some of its valid rows, given as ``bad``, set aside for ``reason``.
+
+    ``bad`` has the columns of the valid rows; equal rows are counted. The valid
+    rows themselves are left to the caller.
+    """
+    columns = got.valid.columns
+    counted = bad.groupBy(*columns).agg(F.count(F.lit(1)).alias("Veces"))
+    rejects = counted.select(
+        F.to_json(F.struct(*columns)).alias("Registro"), F.lit(reason).alias("Motivo"), "Veces"
+    )
+    moved = bad.select(
+        F.lit(name).alias("Origen"), F.lit(0).alias("l"), F.lit(-1).alias("a"), F.lit(1).alias("r")
+    )
+    before = got.log.select("Origen", F.col("Leidos").alias("l"), F.col("Aceptados").alias("a"), F.col("Rechazados").alias("r"))
+    log = before.unionByName(moved).groupBy("Origen").agg(
+        F.sum("l").alias("Leidos"), F.sum("a").alias("Aceptados"), F.sum("r").alias("Rechazados")
+    )
+    return Imported(got.valid, got.rejects.unionByName(rejects), log)
+
+
+def read_amounts(
+    spark: SparkSession,
+    path: str,
+    ids: StructType,
+    amount: DecimalType,
+    document: bool = False,
+    name: str = "import",
+) -> Imported:
+    """Amounts out of JSON objects with the columns ``ids`` and a field per category.
+
+    Every field but the ids is a category; one without a value is no amount.
+    An object stands on a line, or in a list on a line; with ``document``, each
+    file is one list. Set aside are what is no object, an object that lacks an
+    id, and, field by field, a value that is no amount of so many decimals. The
+    log counts amounts, and each object or line set aside as one. ``valid`` has
+    the ids, Categoria and Importe.
+    """
+    lines = spark.read.text(path, wholetext=document).where(F.length(F.trim("value")) > 0)
+    # a single object becomes a list of one; values are kept as their text
+    text = F.trim("value")
+    listed = F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
+    objects = F.from_json(listed, "array<map<string,string>>")
+    names = ids.fieldNames()
+    records = lines.select("value", F.explode_outer(objects).alias("_o")).withColumns(
+        {f.name: F.col("_o")[f.name].try_cast(f.dataType) for f in ids.fields}
+    )
+    missing = [F.when(F.col(c).isNull(), F.lit(MISSING + c)) for c in names]
+    records = records.withColumn(
+        "Motivo", F.coalesce(F.when(F.col("_o").isNull(), F.lit(MALFORMED)), *missing)
+    )
+    whole = records.where(F.col("Motivo").isNotNull()).select(
+        F.coalesce(F.to_json("_o"), "value").alias("Registro"), "Motivo"
+    )
+    fields = (
+        records.where(F.col("Motivo").isNull())
+        .select(*names, F.explode("_o").alias("Categoria", "_text"))
+        .where(~F.col("Categoria").isin(names) & F.col("_text").isNotNull())
+    )
+    exact = F.col("_text").try_cast("decimal(38,12)")
+    value = exact.try_cast(amount)
+    fields = fields.withColumn("Importe", F.when(value == exact, value))
+    parts = fields.where(F.col("Importe").isNull()).select(
+        F.to_json(F.struct(*names, F.create_map("Categoria", "_text").alias("Campo"))).alias("Registro"),
+        F.concat(F.lit("malformed "), "Categoria").alias("Motivo"),
+    )
+    rejects = whole.unionByName(parts).groupBy("Registro", "Motivo").agg(F.count(F.lit(1)).alias("Veces"))
+    valid = fields.where(F.col("Importe").isNotNull()).select(*names, "Categoria", "Importe")
+    taken, left = valid.select(F.lit(1).alias("a"), F.lit(0).alias("r")), rejects.select(F.lit(0).alias("a"), F.col("Veces").alias("r"))
+    log = taken.unionByName(left).agg(
+        F.lit(name).alias("Origen"),
+        F.coalesce(F.sum(F.col("a") + F.col("r")), F.lit(0)).alias("Leidos"),
+        F.coalesce(F.sum("a").cast("long"), F.lit(0)).alias("Aceptados"),
+        F.coalesce(F.sum("r").cast("long"), F.lit(0)).alias("Rechazados"),
+    )
+    return Imported(valid, rejects.select("Registro", "Motivo", "Veces"), log)
+
+
 def wide_to_long(df: DataFrame, ids: Sequence[str], categories: Sequence[str]) -> DataFrame:
     """One row per category column that holds a value: (ids, Categoria, Importe)."""
     return df.unpivot(list(ids), list(categories), "Categoria", "Importe").where(

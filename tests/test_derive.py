@@ -114,6 +114,28 @@ def test_proration_by_weight(books, spark):
     assert got[100, 1, day("2025-01-01")] == money("75.01")  # 7 of 10 parts, less 30
 
 
+def test_shares_of_fractional_weights_are_whole_cents(make, spark):
+    base = make(
+        unit=[(1, 1, 100, None, "1", "A"), (2, 1, 101, None, "1", "B")],
+        expense_extra=[(1, day(f"2025-0{m}-01"), money("1055.00")) for m in (1, 2, 3)],
+    )
+    for kind in ("decimal(5,2)", "double"):
+        share = spark.createDataFrame([(1, "2.35"), (2, "97.65")], "u int, s string").selectExpr(
+            "u as UnidadFuncionalID", f"cast(s as {kind}) as Porcentaje"
+        )
+        parts = {r: base[r] for r in ("payment", "account", "expense_ordinary", "expense_extra")}
+        tables = Tables.of(unit=base.unit.join(share, "UnidadFuncionalID"), **parts)
+        got = sorted(r[3] for r in rows(plans.prorate(tables, weight="Porcentaje")) if r[0] == 100)
+        assert got == [money("24.79"), money("49.58"), money("74.37")]
+        assert sum(r[3] for r in rows(plans.prorate(tables, day("2025-02-01"), "Porcentaje"))) == money(2110)
+
+
+def test_a_negative_month_rounds_away_from_zero(make):
+    units = [(1, 1, 100, None, "1", "A"), (2, 1, 100, None, "1", "B"), (3, 1, 101, None, "1", "C")]
+    tables = make(unit=units, expense_extra=[(1, day("2025-01-01"), money("-1.00"))])
+    assert sorted((r[0], r[3]) for r in rows(plans.prorate(tables))) == [(100, money("-0.67")), (101, money("-0.33"))]
+
+
 def test_financial_state(books):
     income, expense = defaultdict(Decimal), defaultdict(Decimal)
     for payment, unit in linked(books):

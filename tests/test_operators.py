@@ -91,6 +91,11 @@ def test_date_range(spark):
     assert count() == 4 and count(end=day("2025-02-01")) == 2
 
 
+def test_date_range_does_not_look_at_other_columns(spark):
+    df = spark.createDataFrame([(day("2024-12-30"), 2025)], "Fecha date, Anio int")
+    assert op.date_range(df, "Fecha", end=day("2024-12-31")).count() == 1
+
+
 def test_optional_equal_and_guard(spark):
     df = spark.createDataFrame([(1,), (2,)], "a int")
     assert op.optional_equal(df, "a", None).count() == 2

@@ -56,7 +56,7 @@ def test_layout_splits_a_hot_directory(spark, tmp_path):
 def test_layout_splits_a_hot_value(spark, tmp_path):
     """Without directories each file holds a range, and a frequent value several files."""
     df = spark.range(0, 200_000, numPartitions=16).select(
-        F.when(F.col("id") % 10 == 0, F.col("id") % 50).otherwise(20).alias("g"), F.lit(1).alias("v")
+        F.when(F.col("id") % 10 == 0, F.col("id") % 50).otherwise(20).alias("g"), F.col("id").alias("v")
     )
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
@@ -210,13 +210,58 @@ def test_json_expenses(spark, tmp_path):
         '{"Periodo":"2025-06-01","LUZ":1}\n'
         "{not json\n\n"
     )
-    long, got = plans.import_expenses(spark, str(tmp_path / "e.json"), ["LUZ", "AGUA"])
+    long, got = plans.import_expenses(spark, str(tmp_path / "e.json"))
     april, may = day("2025-04-01"), day("2025-05-01")
     assert bag(long) == [(1, april, "AGUA", money(3)), (1, april, "LUZ", money("10.25")), (1, may, "LUZ", money("1.10"))]
-    # a bad value spoils its line even for a query that does not ask for it
-    assert got.valid.select("ConsorcioID").count() == 2
-    assert sorted(r[1] for r in rows(got.rejects)) == ["malformed", "malformed", "missing ConsorcioID"]
-    assert rows(got.log) == [("expenses", 5, 2, 3)]
+    assert sorted(r[1] for r in rows(got.rejects)) == ["malformed", "malformed LUZ", "missing ConsorcioID"]
+    assert rows(got.log) == [("expenses", 6, 3, 3)]
+
+
+def test_json_amounts_of_any_field_are_kept_or_set_aside(spark, tmp_path):
+    (tmp_path / "e.json").write_text(
+        '[{"ConsorcioID":1,"Periodo":"2025-04-01","LUZ":10.00,"GAS":7.50},\n'
+        ' {"ConsorcioID":1,"Periodo":"2025-05-01","Luz ":3,"AGUA":1.005,"X":null,"GAS":"x"}]\n'
+    )
+    long, got = plans.import_expenses(spark, str(tmp_path / "e.json"), document=True)
+    assert sorted((r[2], r[3]) for r in rows(long)) == [("GAS", money("7.50")), ("LUZ", money(10)), ("Luz ", money(3))]
+    assert sorted(r[1] for r in rows(got.rejects)) == ["malformed AGUA", "malformed GAS"]
+    assert rows(got.log) == [("expenses", 5, 3, 2)]
+
+
+def test_conflicting_persons_are_set_aside(spark, tmp_path):
+    (tmp_path / "p.csv").write_text(
+        "PersonaID,DNI,Nombre,Apellido,Mail,Telefono,EsPropietario,NroClaveUniformeID\n"
+        "1,10,Ana,Paz,,,true,k1\n1,10,Ana,Paz,,,true,k2\n1,11,Eva,Paz,,,true,k3\n"
+    )
+    person, account, got = plans.import_people(spark, str(tmp_path / "p.csv"))
+    assert [r[:3] for r in bag(person)] == [(1, 10, "Ana")]
+    assert bag(account) == [("k1", 1), ("k2", 1)]
+    assert [r[1:] for r in rows(got.rejects)] == [("conflicting person", 1)]
+    assert rows(got.log) == [("people", 3, 2, 1)]
+
+
+def test_a_header_in_another_order_is_refused(spark, tmp_path):
+    (tmp_path / "u.txt").write_text("ConsorcioID\tUnidadFuncionalID\tPiso\tDepartamento\n7\t1\t2\tA\n")
+    with pytest.raises(Exception, match="header"):
+        plans.import_units(spark, str(tmp_path / "u.txt"))[0].collect()
+
+
+def test_assignments_not_used_have_a_reason(spark):
+    units = spark.createDataFrame([(1, 7, None, None, "2", "A")], SCHEMAS["unit"])
+    accounts = spark.createDataFrame([("k1", 10), ("k2", 20)], SCHEMAS["account"])
+    lines = spark.createDataFrame(
+        [("k1", 1, False), ("k2", 1, False), ("zz", 1, False), ("k1", 9, True), ("k1", 1, False)],
+        plans.loading.FILES["assignments"],
+    )
+    got = plans.assignment_rejects(units, lines, accounts)
+    assert sorted((r[1], r[2]) for r in rows(got)) == [("surplus person", 2), ("unknown account", 1), ("unknown unit", 1)]
+
+
+def test_buildings(spark, tmp_path):
+    (tmp_path / "b.csv").write_text("ConsorcioID,NombreDelConsorcio\n1,Norte\n1,Otro\nx,Sur\n")
+    buildings, got = plans.import_buildings(spark, str(tmp_path / "b.csv"))
+    assert bag(buildings) == [(1, "Norte")]
+    assert rows(got.log) == [("buildings", 3, 1, 2)]
 
 
 def test_required_columns_are_needed(spark):
