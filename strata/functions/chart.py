@@ -6,9 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from strata.functions.fixed import (
+    CHART_BACKGROUND,
+    CHART_CLOSE,
     CHART_COLORS,
-    CHART_DATASET,
+    CHART_DATA,
+    CHART_DATA_END,
     CHART_ENDPOINT,
+    CHART_OPEN,
+    CHART_OPTIONS,
+    CHART_OPTIONS_END,
+    CHART_OPTIONS_STRICT,
     CHART_SIZE,
     CHART_TITLE,
     CHART_TITLE_MONTH,
@@ -37,17 +44,17 @@ def chart_config(labels: Column, values: Column, title: Column, strict: bool = F
     if strict:
         # a JSON string literal is what stands between the brackets of a one-element array
         quoted = F.regexp_replace(F.to_json(F.array(title)), r"^\[|\]$", "")
-        options = F.concat(F.lit('"options":{"title":{"display":true,"text":'), quoted)
+        options = F.concat(F.lit(CHART_OPTIONS_STRICT), quoted)
     else:
-        options = F.concat(F.lit('options:{title:{display:true,text:"'), title, F.lit('"'))
+        options = F.concat(F.lit(CHART_OPTIONS), title, F.lit(CHART_OPTIONS_END))
     return F.concat(
-        F.lit('{"type":"doughnut","data":{"labels":'),
+        F.lit(CHART_OPEN),
         labels,
-        F.lit(f',"datasets":[{{"label":"{CHART_DATASET}","data":'),
+        F.lit(CHART_DATA),
         values,
-        F.lit(f',"backgroundColor":{colors}}}]}},'),
+        F.lit(CHART_BACKGROUND + colors + CHART_DATA_END),
         options,
-        F.lit("}}}"),
+        F.lit(CHART_CLOSE),
     )
 
 

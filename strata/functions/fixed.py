@@ -50,6 +50,15 @@ CHART_COLORS = (
     "rgb(255, 159, 64)",
     "rgb(255, 200, 32)",
 )
+# the chart's text in its order; labels, values, colors and title go between the pieces
+CHART_OPEN = '{"type":"doughnut","data":{"labels":'
+CHART_DATA = ',"datasets":[{"label":"' + CHART_DATASET + '","data":'
+CHART_BACKGROUND = ',"backgroundColor":'
+CHART_DATA_END = "}]},"
+CHART_OPTIONS = 'options:{title:{display:true,text:"'
+CHART_OPTIONS_END = '"'
+CHART_OPTIONS_STRICT = '"options":{"title":{"display":true,"text":'
+CHART_CLOSE = "}}}"
 CHART_TITLE = "Distribucion de Gastos Ordinarios por Categoria - Consorcio: "
 CHART_TITLE_MONTH = " - Mes: "
 CHART_TITLE_YEAR = " Año: "

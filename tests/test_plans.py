@@ -82,7 +82,8 @@ def test_payments_are_read_in_place_for_one_building(spark, crowd, tmp_path):
     text = plan(plans.collection_by_source(tables, 2, day("2025-02-01"), day("2025-03-31")))
     scan = next(line for line in text.splitlines() if "FileScan" in line and "Concepto" in line)
     assert "GreaterThanOrEqual(Fecha,2025-02-01)" in scan and "LessThanOrEqual(Fecha,2025-03-31)" in scan
-    assert "Anio#" in scan.split("PartitionFilters")[1]
+    directories = scan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "Anio#" in directories and "Mes#" in directories
     assert "PagoID" not in scan.split("ReadSchema")[1]
     units = next(line for line in text.splitlines() if "FileScan" in line and "PropietarioID" in line)
     assert "EqualTo(ConsorcioID,2)" in units.split("PushedFilters")[1]
@@ -123,3 +124,26 @@ def test_next_payment_reads_its_input_once(crowd):
 def test_top_keeps_few_rows_per_task(crowd):
     assert "TakeOrderedAndProject" in plan(plans.top_income_months(crowd, 2))
     assert "WindowGroupLimit" in plan(plans.top_income_months(crowd))
+
+
+def test_the_month_asked_for_bounds_the_scans(spark, crowd, tmp_path):
+    roles = ["payment", "account", "unit", "expense_ordinary", "expense_extra"]
+    write_tables(crowd, str(tmp_path), roles)
+    tables = Tables.from_parquet(spark, str(tmp_path))
+    for df in (plans.prorate(tables, day("2025-02-01")), plans.financial_state(tables, day("2025-02-01"))):
+        scans = [line for line in plan(df).splitlines() if "FileScan" in line and "Importe" in line]
+        paid = [line for line in scans if "Fecha" in line]
+        assert paid and all("LessThanOrEqual(Fecha,2025-02-28)" in line for line in paid)
+        assert all("Mes#" in line.split("PartitionFilters")[1].split("PushedFilters")[0] for line in paid)
+        spent = [line for line in scans if "Periodo" in line]
+        assert len(spent) == 2 and all("LessThanOrEqual(Periodo,2025-02-01)" in line for line in spent)
+
+
+def test_contacts_meet_only_the_debtors_that_are_kept(make):
+    tables = make(
+        person=[(i, 100 + i, "n", "a", None, None, True) for i in range(9)],
+        balance=[(i, i % 2, day("2025-01-01"), money(i)) for i in range(9)],
+    )
+    text = plan(plans.top_debtors(tables))
+    first_join = text.rindex("_rank")
+    assert "Telefono" not in "".join(l for l in text[first_join:].splitlines() if "Exchange" in l)
