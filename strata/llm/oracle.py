@@ -50,7 +50,7 @@ WITH docs AS (
 ), long AS (
   SELECT lang, source, 'symbol_rate' AS rate, 20 AS slack, symbol_rate AS v FROM rates WHERE n_words > 0
   UNION ALL SELECT lang, source, 'dup_line_rate', 150, dup_line_rate FROM rates WHERE n_words > 0
-  UNION ALL SELECT lang, source, 'repeat_rate', 100, repeat_rate FROM rates WHERE n_words > 0
+  UNION ALL SELECT lang, source, 'repeat_rate', 130, repeat_rate FROM rates WHERE n_words > 0
   UNION ALL SELECT lang, source, 'word_length', 50, word_length FROM rates WHERE n_words > 0
 ), pairs AS (SELECT DISTINCT lang, source FROM long
 ), levels AS (

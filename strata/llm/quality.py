@@ -21,7 +21,7 @@ SYMBOL = "[#*$%&|<>]"
 #: Below so many documents, a group takes the thresholds of the level above.
 LEAST = 100
 #: Rate: the least spread that its fence allows for.
-SLACK = {"symbol_rate": 20, "dup_line_rate": 150, "repeat_rate": 100, "word_length": 50}
+SLACK = {"symbol_rate": 20, "dup_line_rate": 150, "repeat_rate": 130, "word_length": 50}
 #: A fence lies so many spreads beyond its quartile.
 REACH = 3
 STEPS = 32
