@@ -45,6 +45,12 @@ HEADLINE = [
     "derive_extra_expenses",
     "prorate_month",
     "financial_state",
+    "layout_weekly",
+    "xml_roundtrip_units",
+    "import_csv_valid",
+    "import_payments",
+    "import_log",
+    "import_json_expenses",
 ]
 RUNS = 3
 

@@ -16,6 +16,7 @@ from strata.plans.derive import (
 )
 from strata.plans.expenses import category_chart, category_expense, monthly_expenses, top_expense_months
 from strata.plans.gaps import payment_gaps
+from strata.plans.ledger import load_ledger
 from strata.plans.loading import (
     assign_people,
     assignment_rejects,
@@ -43,6 +44,7 @@ __all__ = [
     "import_payments",
     "import_people",
     "import_units",
+    "load_ledger",
     "monthly_by_unit",
     "monthly_expenses",
     "monthly_income",

@@ -35,11 +35,11 @@ TXT = {"header": "true", "sep": "\t"}
 
 
 def import_people(
-    spark: SparkSession, path: str, options: Mapping[str, str] = CSV
+    spark: SparkSession, path: str, options: Mapping[str, str] = CSV, staging: str | None = None
 ) -> tuple[DataFrame, DataFrame, Imported]:
     """Persons and accounts out of one file with a line per account."""
     got = read_with_rejects(
-        spark, path, "csv", FILES["people"], [PERSON, "DNI", ACCOUNT], [ACCOUNT], options, "people"
+        spark, path, "csv", FILES["people"], [PERSON, "DNI", ACCOUNT], [ACCOUNT], options, "people", staging
     )
     columns = SCHEMAS["person"].fieldNames()
     # a person with several accounts stands on several lines, which have to agree;
@@ -54,12 +54,12 @@ def import_people(
 
 
 def import_units(
-    spark: SparkSession, path: str, options: Mapping[str, str] = TXT
+    spark: SparkSession, path: str, options: Mapping[str, str] = TXT, staging: str | None = None
 ) -> tuple[DataFrame, Imported]:
     """Units, as yet without owner and tenant."""
     key = ["UnidadFuncionalID"]
     got = read_with_rejects(
-        spark, path, "csv", FILES["units"], [*key, "ConsorcioID"], key, options, "units"
+        spark, path, "csv", FILES["units"], [*key, "ConsorcioID"], key, options, "units", staging
     )
     nobody = F.lit(None).cast("bigint")
     units = got.valid.withColumn("PropietarioID", nobody).withColumn("InquilinoID", nobody)
@@ -67,11 +67,11 @@ def import_units(
 
 
 def import_assignments(
-    spark: SparkSession, path: str, options: Mapping[str, str] = CSV
+    spark: SparkSession, path: str, options: Mapping[str, str] = CSV, staging: str | None = None
 ) -> Imported:
     columns = FILES["assignments"]
     return read_with_rejects(
-        spark, path, "csv", columns, columns.fieldNames(), (), options, "assignments"
+        spark, path, "csv", columns, columns.fieldNames(), (), options, "assignments", staging
     )
 
 
@@ -122,21 +122,25 @@ def assignment_rejects(units: DataFrame, assignments: DataFrame, accounts: DataF
 
 
 def import_buildings(
-    spark: SparkSession, path: str, options: Mapping[str, str] = CSV
+    spark: SparkSession, path: str, options: Mapping[str, str] = CSV, staging: str | None = None
 ) -> tuple[DataFrame, Imported]:
     """Buildings out of a file with a line per building."""
     key = ["ConsorcioID"]
-    got = read_with_rejects(spark, path, "csv", SCHEMAS["building"], key, key, options, "buildings")
+    got = read_with_rejects(spark, path, "csv", SCHEMAS["building"], key, key, options, "buildings", staging)
     return got.valid, got
 
 
 def import_payments(
-    spark: SparkSession, path: str, tables: Tables, options: Mapping[str, str] = CSV
+    spark: SparkSession,
+    path: str,
+    tables: Tables,
+    options: Mapping[str, str] = CSV,
+    staging: str | None = None,
 ) -> tuple[DataFrame, DataFrame, Imported]:
     """Payments of known accounts, and those of unknown ones."""
     key = ["PagoID"]
     required = [*key, "Fecha", "Importe", ACCOUNT]
-    got = read_with_rejects(spark, path, "csv", FILES["payments"], required, key, options, "payments")
+    got = read_with_rejects(spark, path, "csv", FILES["payments"], required, key, options, "payments", staging)
     known = tables.account.select(ACCOUNT)
     return (
         got.valid.join(known, ACCOUNT, "left_semi").select(*got.valid.columns),
@@ -146,12 +150,12 @@ def import_payments(
 
 
 def import_expenses(
-    spark: SparkSession, path: str, document: bool = False
+    spark: SparkSession, path: str, document: bool = False, staging: str | None = None
 ) -> tuple[DataFrame, Imported]:
     """Ordinary expenses out of JSON objects with a field per category, whatever its name.
 
     Objects stand on lines; with ``document`` a file is one list of them.
     """
     ids = StructType([SCHEMAS["expense_ordinary"][c] for c in ("ConsorcioID", "Periodo")])
-    got = read_amounts(spark, path, ids, AMOUNT, document, "expenses")
+    got = read_amounts(spark, path, ids, AMOUNT, document, "expenses", staging)
     return got.valid, got

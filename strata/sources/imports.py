@@ -46,12 +46,15 @@ def read_with_rejects(
     key: Sequence[str] = (),
     options: Mapping[str, str] | None = None,
     name: str = "import",
+    staging: str | None = None,
 ) -> Imported:
     """Read CSV, other delimited text or JSON lines, parting good rows from bad.
 
     Bad is a line that does not parse under ``schema``, a NULL in a
     ``required`` column, or one more row of a ``key`` already taken; of the
-    rows under one key the smallest is kept. Nothing runs until a part is used.
+    rows under one key the smallest is kept. Nothing runs until a part is
+    used, unless ``staging`` names a folder: the file is then parsed once, into
+    it, and all parts are taken from there.
     """
     if not required or not set(key) <= set(required):
         raise ValueError("name the required columns; key columns are among them")
@@ -60,6 +63,7 @@ def read_with_rejects(
     rows = _parse(spark, path, fmt, schema, options or {}).withColumn(
         "Motivo", F.coalesce(F.when(F.col(_LINE).isNotNull(), F.lit(MALFORMED)), *missing)
     )
+    rows = staged(rows, staging)
     record = F.to_json(F.struct(*columns))
     rejects = rows.where(F.col("Motivo").isNotNull()).select(
         F.coalesce(_LINE, record).alias("Registro"), "Motivo", F.lit(1).cast("long").alias("Veces")
@@ -108,6 +112,28 @@ def _part_by_key(rows: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFr
     return kept, counted.where(F.col("Veces") > 0).select(*columns, "Veces")
 
 
+def staged(rows: DataFrame, path: str | None) -> DataFrame:
+    """``rows`` written to ``path`` and read from there; as they are without a path."""
+    if path is None:
+        return rows
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def set_aside(got: Imported, rejects: DataFrame, name: str) -> Imported:
+    """``got`` with further ``rejects``, of rows that its log counts as accepted."""
+    moved = rejects.select(
+        F.lit(name).alias("Origen"), F.lit(0).alias("l"), (-F.col("Veces")).alias("a"), F.col("Veces").alias("r")
+    )
+    before = got.log.select(
+        "Origen", F.col("Leidos").alias("l"), F.col("Aceptados").alias("a"), F.col("Rechazados").alias("r")
+    )
+    log = before.unionByName(moved).groupBy("Origen").agg(
+        F.sum("l").alias("Leidos"), F.sum("a").alias("Aceptados"), F.sum("r").alias("Rechazados")
+    )
+    return Imported(got.valid, got.rejects.unionByName(rejects), log)
+
+
 def move_to_rejects(got: Imported, bad: DataFrame, reason: str, name: str) -> Imported:
     """``got`` with some of its valid rows, given as ``bad``, set aside for ``reason``.
 
@@ -119,14 +145,7 @@ def move_to_rejects(got: Imported, bad: DataFrame, reason: str, name: str) -> Im
     rejects = counted.select(
         F.to_json(F.struct(*columns)).alias("Registro"), F.lit(reason).alias("Motivo"), "Veces"
     )
-    moved = bad.select(
-        F.lit(name).alias("Origen"), F.lit(0).alias("l"), F.lit(-1).alias("a"), F.lit(1).alias("r")
-    )
-    before = got.log.select("Origen", F.col("Leidos").alias("l"), F.col("Aceptados").alias("a"), F.col("Rechazados").alias("r"))
-    log = before.unionByName(moved).groupBy("Origen").agg(
-        F.sum("l").alias("Leidos"), F.sum("a").alias("Aceptados"), F.sum("r").alias("Rechazados")
-    )
-    return Imported(got.valid, got.rejects.unionByName(rejects), log)
+    return set_aside(got, rejects, name)
 
 
 def read_amounts(
@@ -136,6 +155,7 @@ def read_amounts(
     amount: DecimalType,
     document: bool = False,
     name: str = "import",
+    staging: str | None = None,
 ) -> Imported:
     """Amounts out of JSON objects with the columns ``ids`` and a field per category.
 
@@ -159,6 +179,7 @@ def read_amounts(
     records = records.withColumn(
         "Motivo", F.coalesce(F.when(F.col("_o").isNull(), F.lit(MALFORMED)), *missing)
     )
+    records = staged(records, staging)
     whole = records.where(F.col("Motivo").isNotNull()).select(
         F.coalesce(F.to_json("_o"), "value").alias("Registro"), "Motivo"
     )

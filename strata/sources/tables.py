@@ -60,6 +60,20 @@ SCHEMAS = {
     "balance": schema(
         PersonaID=LongType(), ConsorcioID=IntegerType(), Periodo=DateType(), SaldoActual=AMOUNT
     ),
+    "financial_state": schema(
+        ConsorcioID=IntegerType(),
+        Periodo=DateType(),
+        Ingresos=AMOUNT,
+        Egresos=AMOUNT,
+        Resultado=AMOUNT,
+        SaldoCierre=AMOUNT,
+    ),
+    "import_log": schema(
+        Origen=StringType(), Leidos=LongType(), Aceptados=LongType(), Rechazados=LongType()
+    ),
+    "import_reject": schema(
+        Origen=StringType(), Registro=StringType(), Motivo=StringType(), Veces=LongType()
+    ),
     "chart_report": schema(
         ConsorcioID=IntegerType(),
         PeriodoAnio=IntegerType(),
