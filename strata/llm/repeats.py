@@ -346,7 +346,10 @@ def _split(rows: DataFrame) -> DataFrame:
 def repeated_spans(documents: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(doc, mark, low, high): stretches of bytes that strings of earlier starts cover."""
     found = anchors(documents)
-    often = found.groupBy(F.col("gram").alias("_gram")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written, so that both sides of the join are plain exchanges and Spark may split a hot gram
+    often = saved(
+        found.groupBy(F.col("gram").alias("_gram")).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeat-grams"
+    )
     met = saved(found.join(often, F.col("gram") == F.col("_gram")).drop("_gram", "n"), "repeat-anchors")
     place = F.struct("doc", "mark", "at")
     first = saved(met.groupBy("gram", "context").agg(F.min(place).alias("first")), "repeat-contexts")
@@ -356,7 +359,8 @@ def repeated_spans(documents: DataFrame, crowd: int = CROWD) -> DataFrame:
         .where(place != F.col("first"))
         .select("doc", "mark", (F.col("at") - REACH).alias("low"), (F.col("at") + GRAM + REACH).alias("high"))
     )
-    several = first.groupBy(F.col("gram").alias("_gram")).agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1")
+    several = first.groupBy(F.col("gram").alias("_gram")).agg(F.count(F.lit(1)).alias("contexts"))
+    several = saved(several.where("contexts > 1"), "repeat-several")
     hard = first.join(several, F.col("gram") == F.col("_gram")).select("gram", "first.*", "contexts")
     # all parts are one query, so the texts are shuffled once for contexts and result
     around = _contexts(hard, documents)
