@@ -55,19 +55,24 @@ def in_fold(folds: int, number: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == number, F.lit(False))
 
 
+def _lowest(ids: DataFrame, most: int) -> DataFrame:
+    """Up to ``most`` of distinct ids, the lowest by hash.
+
+    A share of the hashes that holds twice as many is cut off first, so tasks
+    do not each bring as many ids as are wanted in all.
+    """
+    hashed = ids.withColumn("_h", F.xxhash64("doc_id"))
+    share = min(1.0, 2 * most / max(1, ids.count()))
+    few = hashed.where(F.col("_h") <= int(-(1 << 63) + share * ((1 << 64) - 1025)))
+    return few.orderBy("_h", "doc_id").limit(most).drop("_h")
+
+
 def _training(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
     """(text, positive) of the sample, and the share of toxic documents among labelled ones."""
     known = labels.where(~in_fold(4, 2) & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     share = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    toxic = known.where("toxic = 1").select("doc_id").distinct().orderBy(*order).limit(POSITIVES)
-    every = (
-        docs.where(~in_fold(4, 2) & F.col("doc_id").isNotNull())
-        .select("doc_id")
-        .orderBy(*order)
-        .limit(UNLABELLED)
-        .distinct()
-    )
+    toxic = _lowest(known.where("toxic = 1").select("doc_id").distinct(), POSITIVES)
+    every = _lowest(docs.where(~in_fold(4, 2) & F.col("doc_id").isNotNull()).select("doc_id").distinct(), UNLABELLED)
     chosen = toxic.withColumn("positive", F.lit(True)).unionByName(every.withColumn("positive", F.lit(False)))
     # at most POSITIVES + UNLABELLED ids, so the broadcast is bounded
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").drop("doc_id"), share or 0.0
