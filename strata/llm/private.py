@@ -221,14 +221,13 @@ def _real(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame) -> dict:
     """A tagger from the rules' spans in up to ``SAMPLE`` documents, those of lowest hash, and composed ones."""
-    sample = (
-        docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= LONGEST))
-        .select("text", F.xxhash64("text").alias("_h"))
-        .orderBy("_h", "text")
-        .limit(SAMPLE)
-        .select("text")
+    some = docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= LONGEST)).select(
+        "text", F.xxhash64("text").alias("_h")
     )
-    real = _real([r["text"] for r in sample.collect()])
+    # the hashes alone are ordered; then only texts up to the last of them come, copies as one
+    last = some.select("_h").distinct().orderBy("_h").limit(SAMPLE).agg(F.max("_h")).first()[0]
+    sample = some.where(F.col("_h") <= F.lit(last)).groupBy("_h").agg(F.min("text").alias("text"))
+    real = _real([r["text"] for r in sorted(sample.collect())])
     made = compose()
     return tagger.train(np.concatenate([real[0], made[0]]), np.concatenate([real[1], made[1]]))
 
