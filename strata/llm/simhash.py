@@ -41,19 +41,18 @@ MEETING = 64
 _CHUNK = 200_000
 
 
-def shingle_hashes(text: str | None) -> Iterator[np.ndarray]:
-    """XXH64 of all 3-word shingles of a text with A-Z lower-cased, in pieces."""
+def shingle_hashes(text: str | None, size: int = SHINGLE) -> Iterator[np.ndarray]:
+    """XXH64 of all shingles of ``size`` words of a text with A-Z lower-cased, in pieces."""
     digest, join = xxhash.xxh64_intdigest, b" ".join
     carry: list[bytes] = []
     any_full = False
     for piece in word_lists((text or "").encode("utf-8", "surrogatepass").lower()):
         found = carry + piece
-        if len(found) >= SHINGLE:
+        if len(found) >= size:
             any_full = True
-            yield np.array(
-                [digest(join(t), SEED) for t in zip(found, found[1:], found[2:], strict=False)], np.uint64
-            )
-        carry = found[-(SHINGLE - 1) :]
+            runs = zip(*(found[i:] for i in range(size)), strict=False)
+            yield np.array([digest(join(t), SEED) for t in runs], np.uint64)
+        carry = found[-(size - 1) :]
     if carry and not any_full:
         yield np.array([digest(join(carry), SEED)], np.uint64)
 
@@ -280,8 +279,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Of rows that share this id, the first by hash of the text stays, and of
     equal ones any.
     """
+    return keep_marked(docs, _grouped(docs))
+
+
+def keep_marked(docs: DataFrame, rooted: DataFrame) -> DataFrame:
+    """The first row of each root; ``rooted`` has (doc_id, mark, root) of every row."""
     keepers = (
-        _grouped(docs)
+        rooted
         .groupBy("root")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("k"))
         .select(F.col("k.doc_id").alias("_id"), F.col("k.mark").alias("_mark"))
