@@ -7,9 +7,12 @@ second part, the risk on what is not toxic, falls below zero, its gradient is
 turned round, so the classifier can't fit the positives by heart.
 
 Features are the words of a document and their first and last letters, present
-or not. Which of them are used is counted by Spark over the training sample;
-the sample itself is bounded by ``POSITIVES`` and ``UNLABELLED`` documents, the
-ones whose hashed ids are lowest. Every document is scored, whole.
+or not. Which of them are used is counted by Spark over the training sample, in
+each language by itself: the ones that toxic documents hold more often than
+chance explains. The sample itself is bounded by ``POSITIVES`` and
+``UNLABELLED`` documents, dealt evenly to the languages as far as these have
+them, the ones whose hashed ids are lowest; weights restore each language's
+share in the risk. Every document is scored, whole.
 """
 
 from __future__ import annotations
@@ -20,16 +23,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from strata.llm.common import saved
+
 POSITIVES = 2000
 UNLABELLED = 8000
-#: Features used at most, and how many toxic documents must hold one.
-FEATURES = 1024
-LEAST = 5
-PURE = 0.3
+#: Features used at most, the surest of each language first.
+FEATURES = 4096
+#: Languages that are told apart at most; rarer ones count as one.
+LANGUAGES = 1000
 EDGES = (4, 5, 6)
 STEPS = 400
 RATE = 0.05
@@ -55,95 +60,143 @@ def in_fold(folds: int, number: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == number, F.lit(False))
 
 
-def _lowest(ids: DataFrame, most: int) -> DataFrame:
-    """Up to ``most`` of distinct ids, the lowest by hash.
+def quota(counts: list[int], most: int) -> int:
+    """What each may take at most so that all together take ``most`` at most, 1 at least."""
+    left = most
+    for no, count in enumerate(sorted(counts)):
+        if count * (len(counts) - no) > left:
+            return max(1, left // (len(counts) - no))
+        left -= count
+    return max([1, *counts])
+
 
-    A share of the hashes that holds twice as many is cut off first, so tasks
-    do not each bring as many ids as are wanted in all.
+def _drawn(ids: DataFrame, most: int) -> DataFrame:
+    """(doc_id, lang, weight): about ``most`` of the ids, of each language the lowest by hash.
+
+    A weight is the share of the language among all ids, over how many of it are
+    drawn. Of each language a share of the hashes that holds twice as many as
+    are wanted is cut off first, so tasks do not each bring as many.
     """
-    hashed = ids.withColumn("_h", F.xxhash64("doc_id"))
-    share = min(1.0, 2 * most / max(1, ids.count()))
-    few = hashed.where(F.col("_h") <= int(-(1 << 63) + share * ((1 << 64) - 1025)))
-    return few.orderBy("_h", "doc_id").limit(most).drop("_h")
+    counts = ids.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(LANGUAGES).collect()
+    total = max(1, ids.count())
+    sizes = {r["lang"]: r["count"] for r in counts}
+    if rest := total - sum(sizes.values()):
+        sizes[None] = rest
+    each = quota(list(sizes.values()), most)
+    top = (1 << 64) - 1025
+    plan = [
+        (lang, int(-(1 << 63) + min(1.0, (2 * each + 20) / n) * top), n / total / min(n, each)) for lang, n in sizes.items()
+    ]
+    spark = ids.sparkSession
+    known = F.broadcast(spark.createDataFrame(plan, "_lang string, _cut long, weight double"))
+    own = ids.withColumn("lang", F.when(F.col("lang").isin(*[x for x in sizes if x is not None]), F.col("lang")))
+    few = own.withColumn("_h", F.xxhash64("doc_id")).join(known, F.col("lang").eqNullSafe(F.col("_lang")))
+    order = Window.partitionBy("lang").orderBy("_h", "doc_id")
+    return (
+        few.where("_h <= _cut")
+        .withColumn("_no", F.row_number().over(order))
+        .where(F.col("_no") <= each)
+        .select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), "weight")
+    )
 
 
 def _training(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
-    """(text, positive) of the sample, and the share of toxic documents among labelled ones."""
+    """(text, lang, positive, weight) of the sample, and the share of toxic documents among labelled ones."""
     known = labels.where(~in_fold(4, 2) & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     share = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
-    toxic = _lowest(known.where("toxic = 1").select("doc_id").distinct(), POSITIVES)
-    every = _lowest(docs.where(~in_fold(4, 2) & F.col("doc_id").isNotNull()).select("doc_id").distinct(), UNLABELLED)
+    lang = F.coalesce(F.col("lang"), F.lit("")) if "lang" in docs.columns else F.lit("")
+    # repeated rows of an id count as one, of its first language
+    ids = docs.where(~in_fold(4, 2) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(lang).alias("lang"))
+    toxic = _drawn(known.where("toxic = 1").select("doc_id").distinct().join(ids, "doc_id"), POSITIVES)
+    every = _drawn(ids, UNLABELLED)
     chosen = toxic.withColumn("positive", F.lit(True)).unionByName(every.withColumn("positive", F.lit(False)))
-    # at most POSITIVES + UNLABELLED ids, so the broadcast is bounded
+    # about POSITIVES + UNLABELLED ids, so the broadcast is bounded
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").drop("doc_id"), share or 0.0
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    tally: dict[bool, Counter] = {True: Counter(), False: Counter()}
-    size = {True: 0, False: 0}
+    tally: dict[tuple[str, bool], Counter] = {}
 
     def out():
-        for positive, counter in tally.items():
-            yield pd.DataFrame(
-                {"feature": ["", *counter], "positive": positive, "n": [size[positive], *counter.values()]}
-            )
-            counter.clear()
-            size[positive] = 0
+        for (lang, positive), counter in tally.items():
+            yield pd.DataFrame({"lang": lang, "feature": [*counter], "positive": positive, "n": [*counter.values()]})
+        tally.clear()
 
     for batch in batches:
-        for text, positive in zip(batch["text"], batch["positive"], strict=True):
-            tally[positive].update(found(text))
-            size[positive] += 1
+        for text, lang, positive in zip(batch["text"], batch["lang"], batch["positive"], strict=True):
+            # a document counts under the empty feature
+            tally.setdefault((lang, positive), Counter()).update(found(text) | {""})
         if sum(map(len, tally.values())) > 500_000:
             yield from out()
     yield from out()
 
 
-def _choose(sample: DataFrame, prior: float) -> list[str]:
-    """The features that most toxic documents of the sample hold, of those that are pure.
+def _choose(sample: DataFrame) -> list[str]:
+    """The features that toxic documents of a language hold more often than chance explains.
 
-    The share of toxic documents among those that hold a feature is ``prior``
-    times its rate in toxic documents over its rate in unlabelled ones. Pure is
-    a feature for which that is ``PURE`` at least, even if toxic documents hold
-    it two deviations less often than was counted, and unlabelled ones one more.
+    With ``e`` toxic documents expected to hold a feature by its rate in
+    unlabelled ones, at least ``p`` do with a chance below
+    ``exp(-(p * ln(p / e) - p + e))``. It is used if that times the number of
+    features tried in the language is 1 at most, so a language with few toxic
+    documents has its own bar; what two of them do not share shows nothing.
     """
     counts = (
-        sample.mapInPandas(_count, "feature string, positive boolean, n long")
-        .groupBy("feature")
+        sample.mapInPandas(_count, "lang string, feature string, positive boolean, n long")
+        .groupBy("lang", "feature")
         .agg(
             F.coalesce(F.sum(F.when(F.col("positive"), F.col("n"))), F.lit(0)).alias("p"),
             F.coalesce(F.sum(F.when(~F.col("positive"), F.col("n"))), F.lit(0)).alias("u"),
         )
+        .where("p > 0")
     )
-    whole = counts.where("feature = ''").first()
-    if whole is None or not whole["p"] or not whole["u"]:
-        return []
-    n_p, n_u = float(whole["p"]), float(whole["u"])
-    sure = F.greatest(F.lit(0.0), F.col("p") - 2 * F.sqrt(F.col("p")))
-    purity = prior * (sure / n_p) / ((F.col("u") + F.sqrt(F.col("u")) + 1) / n_u)
+    counts = saved(counts, "toxicity-counts")
+    whole = counts.groupBy("lang").agg(
+        F.max(F.when(F.col("feature") == "", F.col("p"))).alias("n_p"),
+        F.max(F.when(F.col("feature") == "", F.col("u"))).alias("n_u"),
+        F.count(F.lit(1)).alias("tried"),
+    )
+    expected = F.col("n_p") * (F.col("u") + 1) / F.greatest(F.col("n_u"), F.lit(1))
+    sure = F.col("p") * F.log(F.col("p") / F.col("e")) - F.col("p") + F.col("e")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("sure").desc(), "feature"))
     best = (
-        counts.where((F.col("feature") != "") & (F.col("p") >= LEAST) & (purity >= PURE))
-        .orderBy(F.col("p").desc(), "feature")
+        counts.where("feature <> '' and p > 1")
+        .join(F.broadcast(whole), "lang")
+        .withColumn("e", expected)
+        .where("p > e")
+        .withColumn("sure", sure)
+        .where(F.col("sure") >= F.log("tried"))
+        .withColumn("rank", rank)
+        .groupBy("feature")
+        .agg(F.min("rank").alias("rank"))
+        .orderBy("rank", "feature")
         .limit(FEATURES)
-        .select("feature")
     )
-    return [r["feature"] for r in best.collect()]
-
-
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative risk, by Adam over all rows."""
+    return sorted(r["feature"] for r in best.collect())
+
+
+def fit(
+    positive: np.ndarray,
+    unlabelled: np.ndarray,
+    prior: float,
+    steps: int = STEPS,
+    share_p: np.ndarray | None = None,
+    share_u: np.ndarray | None = None,
+) -> tuple[np.ndarray, float]:
+    """Weights and bias that minimise the non-negative risk, by Adam over all rows; rows have equal shares if none are given."""
     sigmoid = lambda v: 1 / (1 + np.exp(-np.clip(v, -30, 30)))
     softplus = lambda v: np.logaddexp(0, v)
     rows = np.vstack([positive, unlabelled]).astype(np.float32)
     n_p, n_u = len(positive), len(unlabelled)
+    share_p = np.full(n_p, 1 / n_p) if share_p is None else share_p / share_p.sum()
+    share_u = np.full(n_u, 1 / n_u) if share_u is None else share_u / share_u.sum()
     weights, bias = np.zeros(rows.shape[1]), float(np.log(prior / (1 - prior)))
     mean, square = np.zeros(len(weights) + 1), np.zeros(len(weights) + 1)
     for step in range(1, steps + 1):
         g = rows @ weights.astype(np.float32) + bias
         pull = np.zeros(len(rows))
-        rest = softplus(g[n_p:]).mean() - prior * softplus(g[:n_p]).mean()
-        negative = np.concatenate([-prior * sigmoid(g[:n_p]) / n_p, sigmoid(g[n_p:]) / n_u])
-        pull[:n_p] = -prior * sigmoid(-g[:n_p]) / n_p
+        rest = share_u @ softplus(g[n_p:]) - prior * (share_p @ softplus(g[:n_p]))
+        negative = np.concatenate([-prior * sigmoid(g[:n_p]) * share_p, sigmoid(g[n_p:]) * share_u])
+        pull[:n_p] = -prior * sigmoid(-g[:n_p]) * share_p
         pull = pull + negative if rest >= 0 else -negative
         slope = np.append(pull.astype(np.float32) @ rows + DECAY * weights, pull.sum())
         mean = 0.9 * mean + 0.1 * slope
@@ -160,8 +213,9 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]:
     follows from the share of toxic labels alone.
     """
     sample, share = _training(docs, labels)
+    sample = saved(sample, "toxicity-sample")
     prior = min(max(share, 1e-3), 0.9)
-    chosen = _choose(sample, prior)
+    chosen = _choose(sample)
     if not chosen:
         return {}, float(np.log(prior / (1 - prior)))
     place = {f: i for i, f in enumerate(chosen)}
@@ -169,18 +223,21 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]:
     def seen(batches):
         for batch in batches:
             yield pd.DataFrame(
-                {"positive": batch["positive"], "at": [sorted(place[f] for f in found(t) & place.keys()) for t in batch["text"]]}
+                {"positive": batch["positive"], "weight": batch["weight"], "at": [sorted(place[f] for f in found(t) & place.keys()) for t in batch["text"]]}
             )
 
-    got = sample.mapInPandas(seen, "positive boolean, at array<int>").toPandas()
+    got = sample.mapInPandas(seen, "positive boolean, weight double, at array<int>").toPandas()
     matrix = np.zeros((len(got), len(chosen)), np.uint8)
     for row, at in enumerate(got["at"]):
         matrix[row, np.asarray(at, int)] = 1
     is_positive = got["positive"].to_numpy(bool)
     # rows in one order, whatever order they came in, so that reruns agree
-    order = np.lexsort((*matrix.T[:64], matrix.sum(1)))
-    matrix, is_positive = matrix[order], is_positive[order]
-    weights, bias = fit(matrix[is_positive], matrix[~is_positive], prior)
+    weight = got["weight"].to_numpy(float)
+    order = np.lexsort((weight, *matrix.T[:64], matrix.sum(1)))
+    matrix, is_positive, weight = matrix[order], is_positive[order], weight[order]
+    weights, bias = fit(
+        matrix[is_positive], matrix[~is_positive], prior, share_p=weight[is_positive], share_u=weight[~is_positive]
+    )
     return {f: float(w) for f, w in zip(chosen, weights, strict=True)}, bias
 
 
@@ -234,7 +291,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose score is below ``threshold``, with all their columns."""
-    weights, bias = train(docs.select("doc_id", "text"), labels)
+    weights, bias = train(docs, labels)
 
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         score = scorer(weights, bias)
