@@ -74,6 +74,12 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_bytepairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.bytepairs import digests, encode_documents
+
+    return digests(encode_documents(table(spark, sf_dir, "documents")))
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
@@ -87,5 +93,6 @@ REGISTRY = {
         op8_warc,
         op9_pieces,
         op10_repeats,
+        op11_bytepairs,
     )
 }
