@@ -80,6 +80,18 @@ def op11_bytepairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_documents(table(spark, sf_dir, "documents")))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.merkle import manifest
+
+    return manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_prefixtrie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.prefixtrie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
@@ -94,5 +106,7 @@ REGISTRY = {
         op9_pieces,
         op10_repeats,
         op11_bytepairs,
+        op12_merkle,
+        op13_prefixtrie,
     )
 }
