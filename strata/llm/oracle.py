@@ -145,4 +145,108 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
 FROM bits
 """
 
-ORACLE = {"op8_warc": WARC, "op1_quality": QUALITY, "op5_mixing": MIXING}
+
+def _crc32(x: str) -> str:
+    """Unsigned CRC-32 of the digits of ``x``, bit by bit."""
+    digits = f"list_transform(string_split(({x})::VARCHAR, ''), lambda d: ascii(d)::BIGINT)"
+    bits = "lambda r, z: xor(r >> 1, (r & 1) * 3988292384)"
+    step = f"lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), {bits})"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {digits}), {step}), 4294967295)"
+
+
+def _framed(x: str) -> str:
+    return f"coalesce(strlen(({x})::VARCHAR)::VARCHAR || ':' || ({x})::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_framed, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+def _tree(name: str, levels: int) -> str:
+    """Levels of trees over ``{name}0`` (tree, pos, n, digest), with what stands left and right of each node in its run."""
+    out = []
+    for k in range(levels):
+        run = "(PARTITION BY tree, pos // 8 ORDER BY pos ROWS BETWEEN"
+        out.append(
+            f"{name}s{k} AS (SELECT *, coalesce(string_agg(digest, '') OVER {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, "
+            f"coalesce(string_agg(digest, '') OVER {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k} WHERE n > 1)"
+        )
+        out.append(
+            f"{name}{k + 1} AS (SELECT tree, pos // 8 AS pos, (n + 7) // 8 AS n, sha256(string_agg(digest, '' ORDER BY pos)) "
+            f"AS digest FROM {name}{k} WHERE n > 1 GROUP BY ALL)"
+        )
+    union = " UNION ALL ".join(f"SELECT tree, digest FROM {name}{k} WHERE n = 1" for k in range(levels + 1))
+    return ", ".join([*out, f"{name}root AS ({union})"])
+
+
+def _climb(name: str, levels: int) -> str:
+    """From ``{name}f0`` (leafs' tree, pos, node, proof) up the levels of :func:`_tree`."""
+    return ", ".join(
+        f"{name}f{k + 1} AS (SELECT f.* EXCLUDE (node, proof), CASE WHEN l IS NULL THEN node ELSE sha256(l || node || r) END AS node, "
+        f"proof || coalesce(l || r, '') AS proof FROM {name}f{k} f LEFT JOIN {name}s{k} s "
+        f"ON f.tree IS NOT DISTINCT FROM s.tree AND f.pos // {8**k} = s.pos)"
+        for k in range(levels)
+    )
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+MERKLE = f"""
+WITH docs AS (
+  SELECT doc_id, lang AS tree, {_leaf('text')} AS leaf,
+    CASE WHEN {_crc32('coalesce(doc_id, 0)')} % 3 = 0 AND doc_id IS NOT NULL
+      THEN {_leaf(f"translate(text, '{_UPPER}', '{_UPPER.lower()}')")} END AS changed
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY tree) AS n FROM docs
+), a0 AS (SELECT tree, pos, n, leaf AS digest FROM placed
+), {_tree('a', 8)},
+b0 AS (SELECT 0 AS tree, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos, count(*) OVER () AS n, digest, tree AS lang FROM aroot
+), {_tree('b', 5)},
+af0 AS (SELECT doc_id, tree, pos, leaf, coalesce(changed, leaf) AS node, '' AS proof FROM placed
+), {_climb('a', 8)},
+bf0 AS (
+  SELECT f.doc_id, f.leaf, b.digest AS subroot, b.tree, b.pos, node, proof FROM af8 f JOIN b0 b ON f.tree IS NOT DISTINCT FROM b.lang
+), {_climb('b', 5)}
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, node AS folded_root, node = digest AS verified
+FROM bf5, broot
+"""
+
+TRIE = f"""
+WITH t AS (
+  SELECT conv_id, turn, strlen(text) AS bytes, substr(sha256(strlen(role)::VARCHAR || ':' || role || text), 1, 32) AS key
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, key) - 1 AS pos FROM t
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS first, {_crc32('conv_id')} % 9 AS h FROM t GROUP BY conv_id
+), lent AS (
+  SELECT c.conv_id, pos + 1 AS depth, key, bytes FROM convs c JOIN placed p ON p.conv_id = c.first AND pos < h
+), taken AS (SELECT conv_id, count(depth) AS n FROM convs LEFT JOIN lent USING (conv_id) GROUP BY conv_id
+), turns AS (
+  SELECT * FROM lent UNION ALL
+  SELECT p.conv_id, n + pos - h + 1, key, bytes FROM placed p JOIN convs USING (conv_id) JOIN taken USING (conv_id) WHERE pos >= h
+), paths AS (
+  SELECT conv_id, coalesce(list(key ORDER BY depth) FILTER (key IS NOT NULL), []) AS path FROM convs LEFT JOIN turns USING (conv_id) GROUP BY conv_id
+), members AS (
+  SELECT conv_id, d AS depth, len(path) AS length, array_to_string(path[1:d], ',') AS node,
+    CASE WHEN d > 0 THEN array_to_string(path[1:d - 1], ',') END AS parent
+  FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM paths)
+), nodes AS (
+  SELECT m.depth, node, parent, min(m.conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+    sha256(coalesce(string_agg(m.conv_id::VARCHAR, ',' ORDER BY m.conv_id) FILTER (length = m.depth), '')) AS ends_sha256
+  FROM members m LEFT JOIN turns USING (conv_id, depth) GROUP BY m.depth, node, parent
+), children AS (SELECT depth - 1 AS depth, parent AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), own AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth > 0 THEN (n_convs - 1) * bytes ELSE 0 END AS own_saved
+  FROM nodes LEFT JOIN children USING (depth, node)
+), below AS (
+  SELECT m.depth, m.node, sum(own_saved)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM own JOIN members m ON own.conv_id = m.conv_id AND m.depth <= own.depth GROUP BY ALL
+)
+SELECT o.conv_id, o.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, n_leaves, saved_tokens, o.ends_sha256
+FROM own o JOIN below USING (depth, node) LEFT JOIN nodes p ON o.depth = p.depth + 1 AND o.parent = p.node
+"""
+
+ORACLE = {"op8_warc": WARC, "op1_quality": QUALITY, "op5_mixing": MIXING, "op12_merkle": MERKLE, "op13_prefixtrie": TRIE}

@@ -9,7 +9,8 @@ one in 35 bytes. What lies around an anchor as far as strings that hold it can
 reach is its context. Where anchors repeat:
 
 * of equal contexts all but the first are repeats as a whole; a group of any
-  size is settled by a minimum;
+  size is settled by a minimum. They are equal if a 128-bit digest of their bytes
+  is, which has nothing in common with the hashes that make anchors meet;
 * different contexts under one anchor are fetched, and their parts after the
   anchor, and those before it read backwards, are each sorted as suffixes are:
   prefix polynomial hashes give any substring's hash, binary search over them
@@ -25,6 +26,7 @@ strings is keyed by its own hash instead, and the first of each key is a minimum
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,8 +40,8 @@ GRAM = 32
 #: How far a string that holds an anchor reaches beyond it on either side.
 REACH = LENGTH - GRAM
 CROWD = 20_000
-_PIECE = 1 << 20
-_BASE, _OTHER = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
+_PIECE = 1 << 17
+_BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
@@ -83,7 +85,7 @@ class Anchors:
 
     def __init__(self) -> None:
         size = 2 * _PIECE + 8 * LENGTH
-        self.one, self.two = Hashes(_BASE, size), Hashes(_OTHER, size)
+        self.hashes = Hashes(_BASE, size)
 
     @staticmethod
     def pieces(texts: list[bytes]):
@@ -102,7 +104,7 @@ class Anchors:
             yield group
 
     def of(self, texts: list[bytes], group: list[tuple[int, int, int]]) -> tuple[np.ndarray, ...]:
-        """(text number, place, gram hash, context hash) of the anchors of one list of pieces."""
+        """(text number, place, gram hash, context digests) of the anchors of one list of pieces."""
         parts, origin, first, last, starts = [], [], [], [], []
         at = 0
         for no, low, high in group:
@@ -115,9 +117,9 @@ class Anchors:
             starts.append(np.arange(at + low - begin, at + high - begin))
             at += end - begin
         data = np.concatenate(parts)
-        prefixes = self.one.prefixes(data)
+        prefixes = self.hashes.prefixes(data)
         where = np.arange(len(data) - GRAM + 1)
-        grams = _mix(self.one.between(prefixes, where, where + GRAM))
+        grams = _mix(self.hashes.between(prefixes, where, where + GRAM))
         bits = np.uint64((1 << 22) - 1)
         least = _sliding_least((grams & ~bits) | where.astype(np.uint64), REACH + 1)
         piece = np.repeat(np.arange(len(group)), [len(s) for s in starts])
@@ -127,15 +129,26 @@ class Anchors:
         found, piece = found[new], piece[new]
         low_at = np.maximum(found - REACH, np.array(first)[piece])
         high_at = np.minimum(found + GRAM + REACH, np.array(last)[piece])
-        context = self.two.between(self.two.prefixes(data), low_at, high_at)
-        shape = (found - low_at) * 1000 + (high_at - found)
-        context = _mix(context ^ _mix(shape.astype(np.uint64)))
+        whole = memoryview(data)
+        context = [
+            hashlib.blake2b(whole[a:b], digest_size=16, salt=before.to_bytes(2)).digest()
+            for a, b, before in zip(low_at.tolist(), high_at.tolist(), (found - low_at).tolist())
+        ]
         no = np.array([g[0] for g in group])[piece]
         return no, found - np.array(origin)[piece], grams[found], context
 
 
-def _bytes(texts) -> list[bytes]:
-    return [t.encode("utf-8", "surrogatepass") for t in texts]
+def _bytes(texts) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts in bytes, a few at a time, with the number of the first."""
+    first, some, size = 0, [], 0
+    for no, text in enumerate(texts):
+        some.append(text.encode("utf-8", "surrogatepass"))
+        size += len(some[-1])
+        if size >= _PIECE:
+            yield first, some
+            first, some, size = no + 1, [], 0
+    if some:
+        yield first, some
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -154,15 +167,16 @@ def anchors(documents: DataFrame) -> DataFrame:
     def run(batches):
         finder = Anchors()
         for batch in batches:
-            texts = _bytes(batch["text"])
             doc, mark = batch["doc"].to_numpy(np.int64), batch["mark"].to_numpy(np.int64)
-            for group in finder.pieces(texts):
-                no, at, gram, context = finder.of(texts, group)
-                yield pd.DataFrame(
-                    {"gram": gram.view(np.int64), "context": context.view(np.int64), "doc": doc[no], "mark": mark[no], "at": at}
-                )
+            for first, texts in _bytes(batch["text"]):
+                for group in finder.pieces(texts):
+                    no, at, gram, context = finder.of(texts, group)
+                    no += first
+                    yield pd.DataFrame(
+                        {"gram": gram.view(np.int64), "context": context, "doc": doc[no], "mark": mark[no], "at": at}
+                    )
 
-    return documents.mapInPandas(run, "gram long, context long, doc long, mark long, at long")
+    return documents.mapInPandas(run, "gram long, context binary, doc long, mark long, at long")
 
 
 def common_extension(prefixes: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:

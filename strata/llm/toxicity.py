@@ -4,7 +4,14 @@ A linear classifier in numpy is trained from confirmed toxic documents and
 unlabelled text; no text is taken to be clean. With class prior ``pi`` and
 logistic loss, the risk is ``pi * Rp+ + max(0, Ru- - pi * Rp-)``: where the
 second part, the risk on what is not toxic, falls below zero, its gradient is
-turned round, so the classifier can't fit the positives by heart.
+turned round, so the classifier can't fit the positives by heart. The step of
+least risk is kept.
+
+The prior is estimated on the unlabelled text: a set of documents that holds a
+share ``p`` of the toxic and ``u`` of all can't hold more toxic ones than it has,
+so ``pi <= u / p``; the least such bound over the sets with at least k features
+counts. By the same shares the chance of a document without a feature follows,
+which bounds the bias.
 
 Features are the words of a document and their first and last letters, present
 or not. Which of them are used is counted by Spark over the training sample, in
@@ -137,8 +144,9 @@ def _choose(sample: DataFrame) -> list[str]:
     With ``e`` toxic documents expected to hold a feature by its rate in
     unlabelled ones, at least ``p`` do with a chance below
     ``exp(-(p * ln(p / e) - p + e))``. It is used if that times the number of
-    features tried in the language is 1 at most, so a language with few toxic
-    documents has its own bar; what two of them do not share shows nothing.
+    words tried in the language is 1 at most, so a language with few toxic
+    documents has its own bar. What two of them do not share shows nothing, and
+    does not count as tried; nor do edges, which try much the same as their words.
     """
     counts = (
         sample.mapInPandas(_count, "lang string, feature string, positive boolean, n long")
@@ -153,7 +161,7 @@ def _choose(sample: DataFrame) -> list[str]:
     whole = counts.groupBy("lang").agg(
         F.max(F.when(F.col("feature") == "", F.col("p"))).alias("n_p"),
         F.max(F.when(F.col("feature") == "", F.col("u"))).alias("n_u"),
-        F.count(F.lit(1)).alias("tried"),
+        F.greatest(F.count_if((F.col("p") > 1) & ~F.contains("feature", F.lit("-"))), F.lit(1)).alias("tried"),
     )
     expected = F.col("n_p") * (F.col("u") + 1) / F.greatest(F.col("n_u"), F.lit(1))
     sure = F.col("p") * F.log(F.col("p") / F.col("e")) - F.col("p") + F.col("e")
@@ -174,6 +182,24 @@ def _choose(sample: DataFrame) -> list[str]:
     return sorted(r["feature"] for r in best.collect())
 
 
+def prior_and_rest(held_p: np.ndarray, held_u: np.ndarray, share_p: np.ndarray, share_u: np.ndarray, known: float) -> tuple[float, float]:
+    """The class prior, and the chance that a document without a feature is toxic.
+
+    ``held`` are the features that a document holds; ``known``, the share of
+    toxic labels, is the prior if no set bounds it lower. Of ``p`` a deviation is
+    taken off and ``u`` counts one document more, so a set of a few documents
+    shows nothing.
+    """
+    prior = known
+    for k in range(1, int(held_p.max(initial=0)) + 1):
+        p, u = share_p[held_p >= k].sum(), share_u[held_u >= k].sum()
+        p -= np.sqrt(p * (1 - p) / len(held_p)) + 1 / len(held_p)
+        if p > 0:
+            prior = min(prior, (u + 1 / len(held_u)) / p)
+    none_p, none_u = share_p[held_p == 0].sum(), share_u[held_u == 0].sum()
+    return prior, min(prior, prior * (none_p + 1 / len(held_p)) / max(none_u, 1 / len(held_u)))
+
+
 def fit(
     positive: np.ndarray,
     unlabelled: np.ndarray,
@@ -182,28 +208,38 @@ def fit(
     share_p: np.ndarray | None = None,
     share_u: np.ndarray | None = None,
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative risk, by Adam over all rows; rows have equal shares if none are given."""
+    """Weights and bias that minimise the non-negative risk, by Adam over all rows; rows have equal shares if none are given.
+
+    ``prior`` is an upper bound, lowered by :func:`prior_and_rest`.
+    """
     sigmoid = lambda v: 1 / (1 + np.exp(-np.clip(v, -30, 30)))
     softplus = lambda v: np.logaddexp(0, v)
+    logit = lambda v: float(np.log(v / (1 - v)))
     rows = np.vstack([positive, unlabelled]).astype(np.float32)
     n_p, n_u = len(positive), len(unlabelled)
     share_p = np.full(n_p, 1 / n_p) if share_p is None else share_p / share_p.sum()
     share_u = np.full(n_u, 1 / n_u) if share_u is None else share_u / share_u.sum()
-    weights, bias = np.zeros(rows.shape[1]), float(np.log(prior / (1 - prior)))
+    prior, rest = prior_and_rest(positive.sum(1, dtype=int), unlabelled.sum(1, dtype=int), share_p, share_u, prior)
+    prior, most = float(np.clip(prior, 1e-4, 0.9)), logit(float(np.clip(rest, 1e-4, 0.9)))
+    weights, bias = np.zeros(rows.shape[1]), min(logit(prior), most)
     mean, square = np.zeros(len(weights) + 1), np.zeros(len(weights) + 1)
+    best = (np.inf, weights, bias)
     for step in range(1, steps + 1):
         g = rows @ weights.astype(np.float32) + bias
         pull = np.zeros(len(rows))
-        rest = share_u @ softplus(g[n_p:]) - prior * (share_p @ softplus(g[:n_p]))
+        clean = share_u @ softplus(g[n_p:]) - prior * (share_p @ softplus(g[:n_p]))
+        risk = prior * (share_p @ softplus(-g[:n_p])) + max(0.0, clean) + DECAY / 2 * float(weights @ weights)
+        if risk < best[0]:
+            best = (risk, weights, bias)
         negative = np.concatenate([-prior * sigmoid(g[:n_p]) * share_p, sigmoid(g[n_p:]) * share_u])
         pull[:n_p] = -prior * sigmoid(-g[:n_p]) * share_p
-        pull = pull + negative if rest >= 0 else -negative
+        pull = pull + negative if clean >= 0 else -negative
         slope = np.append(pull.astype(np.float32) @ rows + DECAY * weights, pull.sum())
         mean = 0.9 * mean + 0.1 * slope
         square = 0.999 * square + 0.001 * slope**2
         move = RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
-        weights, bias = weights - move[:-1], bias - move[-1]
-    return weights, float(bias)
+        weights, bias = weights - move[:-1], min(bias - move[-1], most)
+    return best[1], float(best[2])
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]:

@@ -383,9 +383,9 @@ def test_long_texts_in_pieces(monkeypatch):
     found = set()
     for group in finder.pieces([text]):
         _, at, gram, context = finder.of([text], group)
-        found |= set(zip(at.tolist(), gram.tolist(), context.tolist(), strict=True))
+        found |= set(zip(at.tolist(), gram.tolist(), context, strict=True))
     monkeypatch.setattr(repeats, "_PIECE", 1 << 20)
     whole = repeats.Anchors()
     (group,) = whole.pieces([text])
     _, at, gram, context = whole.of([text], group)
-    assert found == set(zip(at.tolist(), gram.tolist(), context.tolist(), strict=True))
+    assert found == set(zip(at.tolist(), gram.tolist(), context, strict=True))

@@ -14,14 +14,14 @@ from strata.llm import pieces, private, simhash
 from strata.llm.oracle import ORACLE
 
 PATH = "/root/testdata/sf0.001"
-TABLES = ["documents", "pages", "labels"]
+TABLES = ["documents", "pages", "labels", "conversations"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(PATH), reason="no test tables")
 
 
 def test_each_operator_has_one_query():
     names = [n for n in contract.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in contract.queries()
 
 
