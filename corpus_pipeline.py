@@ -4,8 +4,8 @@ Each stage reads the whole table that the stage before it wrote and all but the
 last return the columns of ``documents``:
 
 1. toxicity: documents with a score of 0.3 or more go;
-2. near duplicates: of texts whose five-word shingles are alike by 0.8 or more, chains
-   included, the document with the least id stays;
+2. near duplicates: of documents whose SimHash fingerprints of three-word shingles link
+   at three bits or fewer, chains included, the one with the least id stays;
 3. private data: found spans are replaced by their kind;
 4. mixing: each document is emitted as often as its source's target asks for;
 5. pieces: ids of each text, and whether decoding gives it back.
@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import saved, table
-from strata.llm.copies import keep_one_alike
 from strata.llm.mixing import mix
 from strata.llm.pieces import encode_documents
 from strata.llm.private import redact_private
+from strata.llm.simhash import keep_one
 from strata.llm.toxicity import THRESHOLD, keep_clean
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -36,7 +36,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_one_alike(docs).select(*COLUMNS)
+    return keep_one(docs).select(*COLUMNS)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
