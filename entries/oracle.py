@@ -313,6 +313,12 @@ QUERIES = {
     "import_rejects": "SELECT Registro, Motivo, cast(Veces AS BIGINT) AS Veces FROM reject",
     "import_log": """SELECT 'payments' AS Origen, n AS Leidos, n - r AS Aceptados, r AS Rechazados FROM
         (SELECT count(*) AS n FROM delivered), (SELECT cast(sum(Veces) AS BIGINT) AS r FROM reject)""",
+    "import_surplus_field": """SELECT CASE WHEN PagoID % 7 = 0 THEN 'malformed'
+        WHEN NroClaveUniformeID IS NULL THEN 'missing NroClaveUniformeID' ELSE 'valid' END AS Motivo,
+        count(*) AS Veces FROM payment GROUP BY ALL""",
+    "import_fraction_rejects": """SELECT CASE WHEN PagoID % 5 = 0 THEN 'malformed'
+        WHEN NroClaveUniformeID IS NULL THEN 'missing NroClaveUniformeID' ELSE 'valid' END AS Motivo,
+        count(*) AS Veces FROM payment GROUP BY ALL""",
     "import_json_expenses": """SELECT ConsorcioID, Periodo, Categoria, sum(Importe)::DOUBLE AS Importe
         FROM expense_ordinary GROUP BY ALL HAVING sum(Importe) <> 0""",
     "import_json_rejects": """SELECT Motivo, count(*) AS Veces FROM (SELECT CASE

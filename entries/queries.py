@@ -412,6 +412,30 @@ def _(spark, tables):
     return plans.import_payments(spark, _payments_file(spark, tables), tables)[2].log
 
 
+def _judged_lines(spark, tables, amount, tail):
+    """How many lines of a payments file without header are valid, and how many are set aside for which reason."""
+    path = shared_path(spark, "payments")
+    dated = {"Fecha": format_dmy(F.col("Fecha")), "Importe": amount}
+    fields = [dated.get(c, F.col(c)).cast("string") for c in plans.loading.FILES["payments"].fieldNames()]
+    line = F.concat_ws(",", *[F.coalesce(f, F.lit("")) for f in fields])
+    tables.payment.select(F.concat(line, tail)).write.text(path)
+    got = plans.import_payments(spark, path, tables, {**plans.loading.CSV, "header": "false"})[2]
+    valid = got.valid.agg(F.lit("valid").alias("Motivo"), F.count(F.lit(1)).alias("Veces"))
+    rejects = got.rejects.groupBy("Motivo").agg(F.sum("Veces").alias("Veces"))
+    return valid.unionByName(rejects)
+
+
+@query("import_surplus_field")
+def _(spark, tables):
+    return _judged_lines(spark, tables, F.col("Importe"), F.when(F.col("PagoID") % 7 == 0, ",x").otherwise(""))
+
+
+@query("import_fraction_rejects")
+def _(spark, tables):
+    third = F.when(F.col("PagoID") % 5 == 0, "5").otherwise("0")
+    return _judged_lines(spark, tables, F.concat(F.col("Importe").cast("string"), third), F.lit(""))
+
+
 @query("import_json_expenses")
 def _(spark, tables):
     ids = ["ConsorcioID", "Periodo"]

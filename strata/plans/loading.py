@@ -13,7 +13,7 @@ from pyspark.sql.types import BooleanType, LongType, StringType, StructType
 
 from strata.functions.fixed import DATE_FORMAT
 from strata.plans.collection import ACCOUNT, PERSON
-from strata.sources.imports import Imported, move_to_rejects, read_amounts, read_with_rejects
+from strata.sources.imports import Imported, judged, read_amounts, read_with_rejects
 from strata.sources.tables import AMOUNT, SCHEMAS, Tables, schema
 
 FILES = {
@@ -46,11 +46,13 @@ def import_people(
     # those that differ from the smallest are set aside, with their accounts
     own = F.struct(*columns)
     smallest = got.valid.groupBy(PERSON).agg(F.min(own).alias("_person"))
-    lines = got.valid.join(smallest, PERSON)
-    agrees = own.eqNullSafe(F.col("_person"))
-    bad = lines.where(~agrees).select(*got.valid.columns)
-    person = smallest.select("_person.*")
-    return person, lines.where(agrees).select(ACCOUNT, PERSON), move_to_rejects(got, bad, CONFLICT, "people")
+    named = smallest.select(F.col(PERSON).alias("_id"), "_person")
+    good = F.col("Motivo").isNull()
+    lines = got.lines.join(named, good & (F.col(PERSON) == F.col("_id")), "left").withColumn(
+        "Motivo", F.coalesce("Motivo", F.when(~own.eqNullSafe(F.col("_person")), CONFLICT))
+    )
+    got = judged(lines.drop("_id", "_person"), FILES["people"].fieldNames(), "people")
+    return smallest.select("_person.*"), got.valid.select(ACCOUNT, PERSON), got
 
 
 def import_units(

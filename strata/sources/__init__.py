@@ -1,4 +1,4 @@
-from strata.sources.imports import Imported, read_with_rejects, wide_to_long
+from strata.sources.imports import Imported, exact_amount, read_with_rejects, wide_to_long
 from strata.sources.layout import LAYOUTS, write_layout, write_tables
 from strata.sources.scratch import shared_path
 from strata.sources.sinks import append_report, read_report, read_xml, write_xml
@@ -10,6 +10,7 @@ __all__ = [
     "SCHEMAS",
     "Tables",
     "append_report",
+    "exact_amount",
     "read_report",
     "read_with_rejects",
     "read_xml",

@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    DecimalType,
+    IntegralType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 MALFORMED = "malformed"
 MISSING = "missing "
@@ -20,21 +30,56 @@ class Imported(NamedTuple):
     valid: DataFrame
     rejects: DataFrame  # Registro: line, or row as JSON; Motivo: why; Veces: how often
     log: DataFrame  # one row: Origen, Leidos, Aceptados, Rechazados
+    lines: DataFrame | None = None  # every line once: its columns, Registro, Linea, and Motivo where it is set aside
+
+
+def exact_amount(text: Column, amount: DecimalType) -> Column:
+    """A number without rounding: NULL if the text is none, or needs more decimals or digits than there are."""
+    decimals = F.length(F.regexp_extract(text, r"\.(\d*?)0*$", 1))
+    plain = F.when(decimals <= amount.scale, text.try_cast(amount))
+    # 12E-1 and the like
+    fine, value = text.try_cast("decimal(38,18)"), text.try_cast(amount)
+    number = r"^[+-]?(\d+\.?\d*|\.\d+)"
+    power = text.rlike(number + r"[eE][+-]?\d+$")
+    return F.when(text.rlike(number + "$"), plain).when(power & (fine == value), value)
+
+
+def _typed(text: Column, kind: DataType, options: Mapping[str, str]) -> Column:
+    """A field of a line as what it should be; NULL if it is something else."""
+    if isinstance(kind, DecimalType):
+        return exact_amount(text, kind)
+    if isinstance(kind, DateType):
+        return F.try_to_date(text, options.get("dateFormat", "yyyy-MM-dd"))
+    if isinstance(kind, BooleanType):
+        return F.when(F.lower(text).isin("true", "false"), text.try_cast(kind))
+    if isinstance(kind, IntegralType):
+        return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast(kind))
+    return text.try_cast(kind)
 
 
 def _parse(
     spark: SparkSession, path: str, fmt: str, schema: StructType, options: Mapping[str, str]
 ) -> DataFrame:
-    """The typed columns, and the line itself where it does not fit them."""
-    full = StructType([*schema.fields, StructField(_LINE, StringType())])
-    options = {**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _LINE}
+    """The typed columns, and as ``_line`` the line itself where it does not fit them."""
+    columns = schema.fieldNames()
+    line = StructField(_LINE, StringType())
+    reading = {**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _LINE}
     if fmt == "json":
         # the file reader would parse only the columns a query asks for, and
         # so miss a bad value in another; an expression parses whole lines
+        full = StructType([*schema.fields, line])
         lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
-        return lines.select(F.from_json("value", full, options).alias("r")).select("r.*")
-    # a header that names other columns, or in another order, is an error
-    return spark.read.format(fmt).schema(full).options(**{"enforceSchema": "false", **options}).load(path)
+        return lines.select(F.from_json("value", full, reading).alias("r")).select("r.*")
+    # all fields are read as text, whatever a query asks for, and each is judged
+    # by itself; a header that names other columns, or in another order, is an error
+    texts = StructType([*[StructField(c, StringType()) for c in columns], line])
+    reading |= {"enforceSchema": "false", "columnPruning": "false"}
+    fields = spark.read.format(fmt).schema(texts).options(**reading).load(path)
+    typed = {f.name: _typed(F.col(f.name), f.dataType, options) for f in schema.fields}
+    wrong = [F.col(c).isNotNull() & typed[c].isNull() for c in columns]
+    own = F.to_csv(F.struct(*columns), {"sep": options.get("sep", ",")})
+    bad = reduce(Column.__or__, wrong, F.col(_LINE).isNotNull())
+    return fields.withColumns({**typed, _LINE: F.when(bad, F.coalesce(_LINE, own))})
 
 
 def read_with_rejects(
@@ -50,66 +95,65 @@ def read_with_rejects(
 ) -> Imported:
     """Read CSV, other delimited text or JSON lines, parting good rows from bad.
 
-    Bad is a line that does not parse under ``schema``, a NULL in a
-    ``required`` column, or one more row of a ``key`` already taken; of the
-    rows under one key the smallest is kept. Nothing runs until a part is
-    used, unless ``staging`` names a folder: the file is then parsed once, into
-    it, and all parts are taken from there.
+    Bad is a line that does not parse under ``schema``, with too many or too few
+    fields or an amount of more decimals than its column has; a NULL in a
+    ``required`` column; or one more row of a ``key`` already taken: of the rows
+    under one key the smallest is kept. Every line is judged as a whole, once,
+    so valid rows, rejects and log agree whatever a query asks for. Nothing runs
+    until a part is used, unless ``staging`` names a folder: the file is then
+    parsed once, into it, and all parts are taken from there.
     """
     if not required or not set(key) <= set(required):
         raise ValueError("name the required columns; key columns are among them")
     columns = schema.fieldNames()
     missing = [F.when(F.col(c).isNull(), F.lit(MISSING + c)) for c in required]
-    rows = _parse(spark, path, fmt, schema, options or {}).withColumn(
-        "Motivo", F.coalesce(F.when(F.col(_LINE).isNotNull(), F.lit(MALFORMED)), *missing)
+    rows = _parse(spark, path, fmt, schema, options or {}).select(
+        *columns,
+        F.coalesce(_LINE, F.to_json(F.struct(*columns))).alias("Registro"),
+        F.coalesce(F.when(F.col(_LINE).isNotNull(), F.lit(MALFORMED)), *missing).alias("Motivo"),
+        # files are cut into tasks in the same way at each reading, so this names a line
+        F.monotonically_increasing_id().alias("Linea"),
     )
     rows = staged(rows, staging)
-    record = F.to_json(F.struct(*columns))
-    rejects = rows.where(F.col("Motivo").isNotNull()).select(
-        F.coalesce(_LINE, record).alias("Registro"), "Motivo", F.lit(1).cast("long").alias("Veces")
-    )
-    valid = rows.where(F.col("Motivo").isNull()).select(*columns)
-    if key:
-        valid, repeated = _part_by_key(valid, key)
-        rejects = rejects.unionByName(
-            repeated.select(record.alias("Registro"), F.lit(DUPLICATE).alias("Motivo"), "Veces")
-        )
-    return Imported(valid, rejects, _log(rows, key, name))
+    return judged(_first_of_key(rows, columns, key) if key else rows, columns, name)
+
 
+def judged(lines: DataFrame, columns: Sequence[str], name: str) -> Imported:
+    """Valid rows, rejects and log of lines with Registro, Motivo and Linea.
 
-def _log(rows: DataFrame, key: Sequence[str], name: str) -> DataFrame:
-    """Counts of the lines read, taken in and set aside, from one pass over them."""
+    A line that is bad by itself is a reject of its own; of those that other
+    lines rule out, equal ones are counted.
+    """
     good = F.col("Motivo").isNull()
-    groups = rows.groupBy("Motivo", *[F.when(good, F.col(c)).alias(c) for c in key]).agg(
-        F.count(F.lit(1)).alias("_lines")
-    )
-    # with a key, the good lines under it leave one
-    taken = F.when(good, F.lit(1) if key else F.col("_lines")).otherwise(0)
-    return groups.agg(
+    alone = (F.col("Motivo") == MALFORMED) | F.col("Motivo").startswith(MISSING)
+    rejects = lines.where(~good).groupBy("Registro", "Motivo", F.when(alone, F.col("Linea")).alias("Linea"))
+    rejects = rejects.agg(F.count(F.lit(1)).alias("Veces")).drop("Linea")
+    log = lines.agg(
         F.lit(name).alias("Origen"),
-        F.coalesce(F.sum("_lines"), F.lit(0)).alias("Leidos"),
-        F.coalesce(F.sum(taken.cast("long")), F.lit(0)).alias("Aceptados"),
-        F.coalesce(F.sum(F.col("_lines") - taken), F.lit(0)).alias("Rechazados"),
+        F.count(F.lit(1)).alias("Leidos"),
+        F.count_if(good).alias("Aceptados"),
+        F.count_if(~good).alias("Rechazados"),
     )
+    return Imported(lines.where(good).select(*columns), rejects, log, lines)
 
 
-def _part_by_key(rows: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """One row per key, and the other rows with their number.
+def _first_of_key(rows: DataFrame, columns: Sequence[str], key: Sequence[str]) -> DataFrame:
+    """``rows`` with all good ones of a key but the smallest set aside; of equal ones the first line is kept.
 
-    Equal rows are counted before they are shuffled, so a mass of copies moves
-    as one row per task. The smallest row of a key is an aggregate, so a key
-    with many different rows is never sorted in one task; where such a key is
-    hot, the join with its smallest row is one Spark may split.
+    The smallest is an aggregate, so many rows of one key are never sorted in one
+    task; the join with it is one that Spark may split where a key is hot.
     """
-    columns = rows.columns
-    whole = F.struct(*columns)
-    smallest = F.min(whole).alias("_smallest")
-    kept = rows.groupBy(*key).agg(smallest).select("_smallest.*").select(*columns)
-    copies = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    counted = copies.join(copies.groupBy(*key).agg(smallest), list(key)).withColumn(
-        "Veces", F.col("_copies") - whole.eqNullSafe(F.col("_smallest")).cast("long")
+    good = rows.where(F.col("Motivo").isNull())
+    first = good.groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(F.min(F.struct(*columns, "Linea")).alias("_first"))
+    same = [F.col("Motivo").isNull(), *[F.col(k) == F.col(f"_{k}") for k in key]]
+    again = F.when(F.col("Linea") != F.col("_first.Linea"), F.lit(DUPLICATE))
+    as_row = F.when(again.isNotNull(), F.to_json(F.struct(*columns)))
+    return rows.join(first, same, "left").select(
+        *columns,
+        F.coalesce(as_row, "Registro").alias("Registro"),
+        F.coalesce("Motivo", again).alias("Motivo"),
+        "Linea",
     )
-    return kept, counted.where(F.col("Veces") > 0).select(*columns, "Veces")
 
 
 def staged(rows: DataFrame, path: str | None) -> DataFrame:
@@ -131,21 +175,7 @@ def set_aside(got: Imported, rejects: DataFrame, name: str) -> Imported:
     log = before.unionByName(moved).groupBy("Origen").agg(
         F.sum("l").alias("Leidos"), F.sum("a").alias("Aceptados"), F.sum("r").alias("Rechazados")
     )
-    return Imported(got.valid, got.rejects.unionByName(rejects), log)
-
-
-def move_to_rejects(got: Imported, bad: DataFrame, reason: str, name: str) -> Imported:
-    """``got`` with some of its valid rows, given as ``bad``, set aside for ``reason``.
-
-    ``bad`` has the columns of the valid rows; equal rows are counted. The valid
-    rows themselves are left to the caller.
-    """
-    columns = got.valid.columns
-    counted = bad.groupBy(*columns).agg(F.count(F.lit(1)).alias("Veces"))
-    rejects = counted.select(
-        F.to_json(F.struct(*columns)).alias("Registro"), F.lit(reason).alias("Motivo"), "Veces"
-    )
-    return set_aside(got, rejects, name)
+    return Imported(got.valid, got.rejects.unionByName(rejects), log, got.lines)
 
 
 def read_amounts(
@@ -188,9 +218,7 @@ def read_amounts(
         .select(*names, F.explode("_o").alias("Categoria", "_text"))
         .where(~F.col("Categoria").isin(names) & F.col("_text").isNotNull())
     )
-    exact = F.col("_text").try_cast("decimal(38,12)")
-    value = exact.try_cast(amount)
-    fields = fields.withColumn("Importe", F.when(value == exact, value))
+    fields = fields.withColumn("Importe", exact_amount(F.col("_text"), amount))
     parts = fields.where(F.col("Importe").isNull()).select(
         F.to_json(F.struct(*names, F.create_map("Categoria", "_text").alias("Campo"))).alias("Registro"),
         F.concat(F.lit("malformed "), "Categoria").alias("Motivo"),

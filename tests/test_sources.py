@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import random
 import xml.etree.ElementTree as ET
 
 import pytest
@@ -168,6 +169,73 @@ def test_bad_payment_lines_are_set_aside(spark, make, payments_file):
     assert rows(got.log) == [("payments", 11, 4, 7)]
 
 
+KINDS = {
+    "good": lambda i: f"{i},01/04/2025,10.50,ORDINARIO,k{i % 3}",
+    "surplus field": lambda i: f"{i},01/04/2025,10.50,ORDINARIO,k1,more",
+    "field too few": lambda i: f"{i},01/04/2025,10.50",
+    "fraction": lambda i: f"{i},01/04/2025,{i}.005,ORDINARIO,k1",
+    "date": lambda i: f"{i},30/02/2025,1.00,ORDINARIO,k1",
+    "number": lambda i: f"{i}x,01/04/2025,1.00,ORDINARIO,k1",
+    "missing": lambda i: f"{i},01/04/2025,,ORDINARIO,k1",
+    "again": lambda i: f"{i % 4},01/04/2025,{i % 2}.50,ORDINARIO,k1",
+}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("staging", [False, True])
+def test_every_line_is_once_in_valid_or_rejects(spark, make, tmp_path, seed, staging):
+    rng = random.Random(seed)
+    kinds = [rng.choice([*KINDS]) for _ in range(120)]
+    (tmp_path / "p").mkdir()
+    for part in range(3):
+        lines = [KINDS[k](i) for i, k in enumerate(kinds) if i % 3 == part]
+        (tmp_path / "p" / f"{part}.csv").write_text("\n".join(["PagoID,Fecha,Importe,Concepto,NroClaveUniformeID", *lines, ""]))
+    tables = make(account=[("k0", 1), ("k1", 2)])
+    stage = f"{tmp_path}/stage" if staging else None
+    known, unknown, got = plans.import_payments(spark, str(tmp_path / "p"), tables, staging=stage)
+    good = {str(i) for i, k in enumerate(kinds) if k == "good"}
+    bad = sum(k not in ("good", "again") for k in kinds)
+    ids = {i % 4 for i, k in enumerate(kinds) if k == "again"}
+    taken = sorted({*map(int, good), *ids})
+    assert sorted(r[0] for r in rows(got.valid)) == taken
+    assert sorted(r[0] for r in [*rows(known.select("PagoID")), *rows(unknown.select("PagoID"))]) == taken
+    assert sum(r["Veces"] for r in got.rejects.collect()) == len(kinds) - len(taken)
+    assert got.rejects.where("Motivo <> 'duplicate key'").agg(F.sum("Veces")).first()[0] == bad
+    assert rows(got.log) == [("payments", len(kinds), len(taken), len(kinds) - len(taken))]
+    lines = got.lines.select("Linea", "Motivo").collect()
+    assert len(lines) == len({r["Linea"] for r in lines}) == len(kinds)
+    # the line of a valid row is none of a rejected one
+    accepted = got.lines.where("Motivo IS NULL").select("Linea", *got.valid.columns)
+    set_aside = got.lines.where("Motivo IS NOT NULL").select("Linea")
+    assert accepted.join(set_aside, "Linea").count() == 0
+    assert bag(accepted.drop("Linea")) == bag(got.valid)
+
+
+def test_amounts_are_not_rounded(spark):
+    texts = ["100.005", "7.123456", "7.10", "7.1000", "-3", "+.5", "5.", "1e2", "12E-1", "1e-3", "9" * 17, "1,5", "", " 1", "0.00000000000000000001"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", sources.exact_amount(F.col("t"), AMOUNT).alias("a"))
+    got = {r["t"]: r["a"] for r in df.collect()}
+    assert {t: v for t, v in got.items() if v is not None} == {
+        "7.10": money("7.10"), "7.1000": money("7.10"), "-3": money(-3), "+.5": money("0.5"), "5.": money(5), "1e2": money(100), "12E-1": money("1.2"),
+    } | ({"9" * 17: money("9" * 17)} if AMOUNT.precision - AMOUNT.scale >= 17 else {})
+
+
+def test_surplus_fields_of_every_import_are_set_aside(spark, make, tmp_path):
+    for name, read in {
+        "units": lambda p: plans.import_units(spark, p, plans.loading.CSV)[1],
+        "people": lambda p: plans.import_people(spark, p)[2],
+        "assignments": lambda p: plans.import_assignments(spark, p),
+        "payments": lambda p: plans.import_payments(spark, p, make(account=[("k", 1)]))[2],
+    }.items():
+        columns = plans.loading.FILES[name].fields
+        fill = {"date": "01/04/2025", "boolean": "true", "string": "k"}
+        line = ",".join(fill.get(f.dataType.simpleString(), "1") for f in columns)
+        (tmp_path / f"{name}.csv").write_text(",".join(f.name for f in columns) + f"\n{line}\n{line},more\n")
+        got = read(str(tmp_path / f"{name}.csv"))
+        assert (got.valid.count(), [r[:2] for r in rows(got.rejects)]) == (1, [(f"{line},more", "malformed")])
+        assert rows(got.log) == [(name, 2, 1, 1)]
+
+
 def test_choice_of_columns_does_not_change_the_rows(spark, make, payments_file):
     known, _, got = plans.import_payments(spark, payments_file, make(account=[("k1", 1), ("k2", 2)]))
     assert sorted(r[0] for r in rows(known.select("PagoID"))) == [1, 6, 7]
