@@ -12,11 +12,13 @@ from strata.plans.derive import (
     derive_extra_expenses,
     derive_ordinary_expenses,
     financial_state,
+    financial_state_since,
     prorate,
+    prorate_since,
 )
 from strata.plans.expenses import category_chart, category_expense, monthly_expenses, top_expense_months
 from strata.plans.gaps import payment_gaps
-from strata.plans.ledger import load_ledger
+from strata.plans.ledger import load_ledger, load_months
 from strata.plans.loading import (
     assign_people,
     assignment_rejects,
@@ -38,6 +40,7 @@ __all__ = [
     "derive_extra_expenses",
     "derive_ordinary_expenses",
     "financial_state",
+    "financial_state_since",
     "import_assignments",
     "import_buildings",
     "import_expenses",
@@ -45,6 +48,7 @@ __all__ = [
     "import_people",
     "import_units",
     "load_ledger",
+    "load_months",
     "monthly_by_unit",
     "monthly_expenses",
     "monthly_income",
@@ -52,6 +56,7 @@ __all__ = [
     "payment_gaps",
     "payments_by_unit",
     "prorate",
+    "prorate_since",
     "top_debtors",
     "top_expense_months",
     "top_income_months",

@@ -6,6 +6,7 @@ What these compute is this library's own definition, given per function.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -26,28 +27,31 @@ def _month(column: str):
     return F.trunc(column, "month")
 
 
-def _collected(tables: Tables, concept: str | None = None, end: dt.date | None = None) -> DataFrame:
-    """Collection per building and month, as the reports count it, up to ``end``."""
+def _collected(
+    tables: Tables, concept: str | None = None, end: dt.date | None = None, since: dt.date | None = None
+) -> DataFrame:
+    """Collection per building and month, as the reports count it, from ``since`` up to ``end``."""
     return collect_by(
         tables,
         {"Periodo": _month("Fecha")},
         {"Importe": F.col("Importe")},
         by=[BUILDING],
         concept=concept,
+        start=since,
         end=end,
     ).where(F.col("Importe").isNotNull())
 
 
-def derive_extra_expenses(tables: Tables) -> DataFrame:
+def derive_extra_expenses(tables: Tables, since: dt.date | None = None) -> DataFrame:
     """Extraordinary expense of a building and month: the extraordinary payments it collected."""
-    return _collected(tables, CONCEPT_EXTRAORDINARY).select(BUILDING, "Periodo", "Importe")
+    return _collected(tables, CONCEPT_EXTRAORDINARY, since=since).select(BUILDING, "Periodo", "Importe")
 
 
-def derive_ordinary_expenses(tables: Tables, category: str) -> DataFrame:
+def derive_ordinary_expenses(tables: Tables, category: str, since: dt.date | None = None) -> DataFrame:
     """Ordinary payments as expenses of ``category``, where it has none that month yet."""
     present = tables.expense_ordinary.where(F.col("Categoria") == category)
     return (
-        _collected(tables, CONCEPT_ORDINARY)
+        _collected(tables, CONCEPT_ORDINARY, since=since)
         .join(present, [BUILDING, "Periodo"], "left_anti")
         .select(BUILDING, "Periodo", F.lit(category).alias("Categoria"), "Importe")
     )
@@ -60,14 +64,16 @@ def _month_end(period: dt.date | None) -> dt.date | None:
     return (period.replace(day=1) + dt.timedelta(days=31)).replace(day=1) - dt.timedelta(days=1)
 
 
-def _building_months(tables: Tables, period: dt.date | None = None) -> DataFrame:
-    expenses = monthly_expenses(tables, end=period)
+def _building_months(tables: Tables, period: dt.date | None = None, since: dt.date | None = None) -> DataFrame:
+    expenses = monthly_expenses(tables, start=since, end=period)
     return expenses.select(
         BUILDING, F.make_date("Anio", "Mes", F.lit(1)).alias("Periodo"), "TotalGastos"
     )
 
 
-def _charges(tables: Tables, weight: str | None, period: dt.date | None) -> DataFrame:
+def _charges(
+    tables: Tables, weight: str | None, period: dt.date | None, since: dt.date | None = None
+) -> DataFrame:
     """Each owner's share of the month's expense, by units owned or their weight.
 
     Weights count to six decimals, and as whole millionths, so that a share is
@@ -81,7 +87,7 @@ def _charges(tables: Tables, weight: str | None, period: dt.date | None) -> Data
         .groupBy(BUILDING, F.col("PropietarioID").alias(PERSON))
         .agg(F.sum("_weight").cast("decimal(17,0)").alias("_owned"))
     )
-    months = _building_months(tables, period).join(whole, BUILDING).where("_whole > 0").select(
+    months = _building_months(tables, period, since).join(whole, BUILDING).where("_whole > 0").select(
         BUILDING,
         "Periodo",
         "_whole",
@@ -93,10 +99,10 @@ def _charges(tables: Tables, weight: str | None, period: dt.date | None) -> Data
     return owned.join(months, BUILDING).select(PERSON, BUILDING, "Periodo", cents.alias(_CENTS))
 
 
-def _credits(tables: Tables, period: dt.date | None) -> DataFrame:
+def _credits(tables: Tables, period: dt.date | None, since: dt.date | None = None) -> DataFrame:
     """Payments of a person, once in each building where the person owns or rents."""
     payments = date_range(
-        tables.payment, "Fecha", end=_month_end(period), directories=tables.directories("payment")
+        tables.payment, "Fecha", since, _month_end(period), directories=tables.directories("payment")
     )
     paid = payments.where(F.col("Importe").isNotNull()).select(
         ACCOUNT, _month("Fecha").alias("Periodo"), "Importe"
@@ -139,16 +145,36 @@ def prorate(tables: Tables, period: dt.date | None = None, weight: str | None =
     return totals.groupBy(PERSON, BUILDING, "Periodo").agg(_amount(F.max("_total")).alias("SaldoActual"))
 
 
-def financial_state(tables: Tables, period: dt.date | None = None) -> DataFrame:
-    """Income, expense, net and closing balance per building and month."""
+def _opening(closed: DataFrame, since: dt.date, group: Sequence[str], balance: str) -> DataFrame:
+    """The last balance of each group before ``since``, as of the day before it."""
+    last = closed.where(F.col("Periodo") < F.lit(since)).groupBy(*group).agg(F.max_by(balance, "Periodo").alias(balance))
+    return last.withColumn("Periodo", F.lit(since - dt.timedelta(days=1)))
+
+
+def prorate_since(tables: Tables, closed: DataFrame, since: dt.date, weight: str | None = None) -> DataFrame:
+    """The balances of :func:`prorate` from the month ``since`` on, carried on from those of ``closed``.
+
+    Only payments and expenses of these months are read. ``closed`` has balances
+    of months before; they stay as they were, also where units have changed hands.
+    """
+    group = [PERSON, BUILDING]
+    moves = _charges(tables, weight, None, since).unionByName(_credits(tables, None, since))
+    before = _opening(closed, since, group, "SaldoActual")
+    carried = before.select(*group, "Periodo", (F.col("SaldoActual") * 100).cast("long").alias(_CENTS))
+    totals = running_total(moves.unionByName(carried), _CENTS, "_total", ["Periodo"], group)
+    later = totals.where(F.col("Periodo") >= F.lit(since))
+    return later.groupBy(*group, "Periodo").agg(_amount(F.max("_total")).alias("SaldoActual"))
+
+
+def _state_months(tables: Tables, period: dt.date | None, since: dt.date | None = None) -> DataFrame:
     none = F.lit(0).cast(AMOUNT_TYPE)
-    income = _collected(tables, end=_month_end(period)).select(
+    income = _collected(tables, end=_month_end(period), since=since).select(
         BUILDING, "Periodo", F.col("Importe").alias("Ingresos"), none.alias("Egresos")
     )
-    expense = _building_months(tables, period).select(
+    expense = _building_months(tables, period, since).select(
         BUILDING, "Periodo", none.alias("Ingresos"), F.col("TotalGastos").cast(AMOUNT_TYPE).alias("Egresos")
     )
-    months = (
+    return (
         income.unionByName(expense)
         .groupBy(BUILDING, "Periodo")
         .agg(
@@ -157,6 +183,21 @@ def financial_state(tables: Tables, period: dt.date | None = None) -> DataFrame:
         )
         .withColumn("Resultado", (F.col("Ingresos") - F.col("Egresos")).cast(AMOUNT_TYPE))
     )
+
+
+def financial_state_since(tables: Tables, closed: DataFrame, since: dt.date) -> DataFrame:
+    """The rows of :func:`financial_state` from the month ``since`` on, carried on from those of ``closed``."""
+    months = _state_months(tables, None, since)
+    none = [F.lit(0).cast(AMOUNT_TYPE).alias(c) for c in ("Ingresos", "Egresos")]
+    before = _opening(closed, since, [BUILDING], "SaldoCierre")
+    carried = before.select(BUILDING, "Periodo", *none, F.col("SaldoCierre").cast(AMOUNT_TYPE).alias("Resultado"))
+    totals = running_total(months.unionByName(carried), "Resultado", "SaldoCierre", ["Periodo"], [BUILDING])
+    return totals.where(F.col("Periodo") >= F.lit(since))
+
+
+def financial_state(tables: Tables, period: dt.date | None = None) -> DataFrame:
+    """Income, expense, net and closing balance per building and month."""
+    months = _state_months(tables, period)
     if period is None:
         return running_total(months, "Resultado", "SaldoCierre", ["Periodo"], [BUILDING])
     own = F.col("Periodo") == F.lit(period)

@@ -157,10 +157,13 @@ def _first_of_key(rows: DataFrame, columns: Sequence[str], key: Sequence[str]) -
 
 
 def staged(rows: DataFrame, path: str | None) -> DataFrame:
-    """``rows`` written to ``path`` and read from there; as they are without a path."""
+    """``rows`` written to ``path`` and read from there; as they are without a path.
+
+    What an earlier run wrote there is written anew, from the same file.
+    """
     if path is None:
         return rows
-    rows.write.parquet(path)
+    rows.write.mode("overwrite").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

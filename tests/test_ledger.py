@@ -85,3 +85,78 @@ def test_reports_of_the_loaded_ledger(spark, loaded):
     assert sources.read_report(spark, f"{path}/chart_report").count() == 2
     state = spark.read.schema(SCHEMAS["financial_state"]).parquet(f"{path}/financial_state")
     assert state.where("ConsorcioID = 1 AND Periodo = '2025-04-01'").first()["SaldoCierre"] == money("10.00")
+
+
+ROLES = ("payment", "payment_unlinked", "expense_ordinary", "expense_extra", "balance", "financial_state")
+
+
+def parts_of(text: str, months: tuple[str, ...], head: bool) -> str:
+    """The lines of a file that name one of the months, and its header."""
+    first, *lines = text.splitlines() if head else ["", *text.splitlines()]
+    kept = [x for x in lines if any(m in x for m in months)]
+    return "\n".join([first, *kept][not head :]) + "\n"
+
+
+def contents(spark, path: str) -> dict[str, list]:
+    return {r: bag(spark.read.schema(SCHEMAS.get(r, SCHEMAS["payment"])).parquet(f"{path}/{r}")) for r in ROLES}
+
+
+APRIL, MAY = ("/04/2025", "2025-04"), ("/05/2025", "2025-05")
+
+
+@pytest.fixture(scope="module")
+def two_months(spark, tmp_path_factory):
+    """The files of April and of May, and the ledger of both together, with ordinary expenses derived."""
+    folders = {}
+    for name, months in (("both", APRIL + MAY), ("april", APRIL), ("may", MAY)):
+        folder = folders[name] = tmp_path_factory.mktemp(name)
+        for file, text in FILES.items():
+            if file in ("payments", "expenses"):
+                text = parts_of(text, months, file == "payments")
+            (folder / file).write_text(text)
+    path = str(tmp_path_factory.mktemp("whole"))
+    plans.load_ledger(spark, {f: str(folders["both"] / f) for f in FILES}, path, category="CUOTA")
+    return folders, contents(spark, path)
+
+
+def test_month_after_month_is_as_both_together(spark, two_months, tmp_path):
+    folders, whole = two_months
+    path = str(tmp_path / "ledger")
+    plans.load_ledger(spark, {f: str(folders["april"] / f) for f in FILES}, path, category="CUOTA")
+    may = {f: str(folders["may"] / f) for f in ("payments", "expenses")}
+    plans.load_months(spark, may, path, "2025-05", category="CUOTA")
+    assert contents(spark, path) == whole
+    assert ("CUOTA" in {r[2] for r in whole["expense_ordinary"]}) and len(whole["balance"]) > 3
+    log = lambda: bag(spark.read.schema(SCHEMAS["import_log"]).parquet(f"{path}/_loads/2025-05/import_log"))
+    assert log() == [("expenses", 2, 1, 1), ("payments", 3, 2, 1)]
+    # the same delivery again, as after a failure, changes nothing
+    plans.load_months(spark, may, path, "2025-05", category="CUOTA")
+    assert contents(spark, path) == whole and log() == [("expenses", 2, 1, 1), ("payments", 3, 2, 1)]
+    # under another name its payments are duplicates
+    plans.load_months(spark, may, path, "2025-05 again", category="CUOTA")
+    assert contents(spark, path) == whole
+    rejects = spark.read.schema(SCHEMAS["import_reject"]).parquet(f"{path}/_loads/2025-05 again/import_reject")
+    assert sorted(r["Motivo"] for r in rejects.collect()) == ["duplicate key", "duplicate key", "malformed", "malformed LUZ"]
+
+
+def test_late_payments_change_their_month_and_later_ones(spark, two_months, tmp_path):
+    folders, whole = two_months
+    path = str(tmp_path / "ledger")
+    plans.load_ledger(spark, {f: str(folders["may"] / f) for f in FILES}, path)
+    plans.load_months(spark, {f: str(folders["april"] / f) for f in ("payments", "expenses")}, path, "late", category="CUOTA")
+    assert contents(spark, path) == whole
+    with pytest.raises(ValueError, match="payments"):
+        plans.load_months(spark, {"people": "x"}, path, "other")
+
+
+def test_balances_carried_on_equal_those_of_all_months(spark, loaded):
+    tables, path = loaded
+    may = day("2025-05-01")
+    carried = plans.prorate_since(tables, tables.balance, may)
+    assert bag(carried) == bag(plans.prorate(tables).where("Periodo >= '2025-05-01'"))
+    closed = spark.read.schema(SCHEMAS["financial_state"]).parquet(f"{path}/financial_state")
+    state = plans.financial_state_since(tables, closed, may)
+    assert bag(state) == bag(plans.financial_state(tables).where("Periodo >= '2025-05-01'").select(*state.columns))
+    # of the payments only the directory of May is read
+    scans = carried._jdf.queryExecution().executedPlan().toString()
+    assert "Mes" in scans and "2025-05-01" in scans
