@@ -83,6 +83,14 @@ VIEWS = {role: _role_sql(role) for role in SOURCES} | {
                 SELECT ConsorcioID, cast(date_trunc('month', Fecha) AS DATE) AS Periodo,
                     Importe AS Ingresos, 0 AS Egresos FROM paid
                 UNION ALL SELECT ConsorcioID, Periodo, 0, Importe FROM expense) GROUP BY ALL)""",
+    "expense_loaded": """SELECT ConsorcioID, Periodo, Importe FROM expense_ordinary
+        UNION ALL SELECT ConsorcioID, cast(date_trunc('month', Fecha) AS DATE), Importe FROM paid
+        WHERE Concepto = 'EXTRAORDINARIO'""",
+    "state_loaded": """SELECT *, Ingresos - Egresos AS Resultado FROM (
+            SELECT ConsorcioID, Periodo, sum(Ingresos) AS Ingresos, sum(Egresos) AS Egresos FROM (
+                SELECT ConsorcioID, cast(date_trunc('month', Fecha) AS DATE) AS Periodo,
+                    Importe AS Ingresos, 0 AS Egresos FROM paid
+                UNION ALL SELECT ConsorcioID, Periodo, 0, Importe FROM expense_loaded) GROUP BY ALL)""",
 }
 # The same relations over accounts that two persons share, and over units of different weight
 VIEWS |= {
@@ -345,6 +353,7 @@ QUERIES = {
     "prorate_month": _prorated(),
     "prorate_month_one": f"SELECT * FROM ({_prorated()}) WHERE Periodo = DATE '1997-04-01'",
     "financial_state": _state(),
+    "load_two_months": _state().replace("FROM state", "FROM state_loaded"),
     "financial_state_one": f"SELECT * FROM ({_state()}) WHERE Periodo = DATE '1997-04-01'",
 }
 

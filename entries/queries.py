@@ -35,6 +35,7 @@ from strata.functions.fixed import (
 )
 from strata.operators.aggregates import json_columns
 from strata.sources import (
+    SCHEMAS,
     Tables,
     append_report,
     read_report,
@@ -382,8 +383,8 @@ def _(spark, tables):
     return plans.import_units(spark, path)[0].select(*columns)
 
 
-@query("assign_unit_person")
-def _(spark, tables):
+def _assignment_lines(tables):
+    """Each person of a unit, by the least of the person's account keys."""
     keys = tables.account.groupBy("PersonaID").agg(F.min("NroClaveUniformeID").alias("NroClaveUniformeID"))
     sides = [
         tables.unit.join(keys, tables.unit[column] == keys["PersonaID"]).select(
@@ -391,7 +392,12 @@ def _(spark, tables):
         )
         for column, tenant in (("PropietarioID", False), ("InquilinoID", True))
     ]
-    path = _write(sides[0].unionByName(sides[1]), spark, "assignments")
+    return sides[0].unionByName(sides[1])
+
+
+@query("assign_unit_person")
+def _(spark, tables):
+    path = _write(_assignment_lines(tables), spark, "assignments")
     nobody = F.lit(None).cast("bigint")
     blank = tables.unit.withColumn("PropietarioID", nobody).withColumn("InquilinoID", nobody)
     return plans.assign_people(blank, plans.import_assignments(spark, path).valid, tables.account)
@@ -436,17 +442,49 @@ def _(spark, tables):
     return _judged_lines(spark, tables, F.concat(F.col("Importe").cast("string"), third), F.lit(""))
 
 
-@query("import_json_expenses")
-def _(spark, tables):
+def _expenses_file(spark, expenses):
+    """A JSON object per building and month."""
     ids = ["ConsorcioID", "Periodo"]
     # a category without expense is no field at all
-    sums = op.sum_by(tables.expense_ordinary, [*ids, "Categoria"], "Importe", "Importe").where("Importe <> 0")
+    sums = op.sum_by(expenses, [*ids, "Categoria"], "Importe", "Importe").where("Importe <> 0")
     fields = F.map_from_entries(F.collect_list(F.struct("Categoria", F.col("Importe").cast("string"))))
     objects = sums.groupBy(*ids).agg(fields.alias("_fields"))
     known = F.create_map(*[x for c in ids for x in (F.lit(c), F.col(c).cast("string"))])
     path = shared_path(spark, "expenses_json")
     objects.select(F.to_json(F.map_concat(known, "_fields"))).write.text(path)
-    return plans.import_expenses(spark, path)[0]
+    return path
+
+
+@query("import_json_expenses")
+def _(spark, tables):
+    return plans.import_expenses(spark, _expenses_file(spark, tables.expense_ordinary))[0]
+
+
+@query("load_two_months")
+def _(spark, tables):
+    """The financial state of a ledger loaded from its files in two deliveries, up to a month and from it on."""
+    cut = F.lit(dt.date(1997, 1, 1))
+    columns = plans.loading.FILES["payments"].fieldNames()
+    people = tables.person.join(tables.account, "PersonaID").select(*plans.loading.FILES["people"].fieldNames())
+    units = tables.unit.select(*plans.loading.FILES["units"].fieldNames())
+
+    def moves(part):
+        payments = tables.payment.where(part(F.col("Fecha"))).withColumn("Fecha", format_dmy(F.col("Fecha")))
+        return {
+            "payments": _write(payments.select(*columns), spark, "payments"),
+            "expenses": _expenses_file(spark, tables.expense_ordinary.where(part(F.col("Periodo")))),
+        }
+
+    fixed = {
+        "buildings": _write(tables.building, spark, "buildings"),
+        "people": _write(people, spark, "people"),
+        "units": _write(units, spark, "units", sep="\t"),
+        "assignments": _write(_assignment_lines(tables), spark, "assignments"),
+    }
+    path = shared_path(spark, "ledger")
+    plans.load_ledger(spark, fixed | moves(lambda day: day < cut), path)
+    plans.load_months(spark, moves(lambda day: day >= cut), path, "later")
+    return spark.read.schema(SCHEMAS["financial_state"]).parquet(f"{path}/financial_state")
 
 
 @query("import_json_rejects")
