@@ -44,6 +44,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shielded(docs: DataFrame, used: set[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with numbered names for all columns but those ``used``, and what gives a result the old names back.
+
+    So no column of the user's can clash with one that an operator makes.
+    """
+    inner = {c: c if c in used else f"_own{i}" for i, c in enumerate(docs.columns)}
+    named = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
+    return named, lambda df: df.select(*[F.col(n).alias(c) for c, n in inner.items()])
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; null has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")

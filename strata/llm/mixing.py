@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import saved, words
+from strata.llm.common import saved, shielded, words
 from strata.llm.quality import bin_of
 
 WEIGHTS = (5, 2, 1)
@@ -173,6 +173,7 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     Rows of one id, source and size are told apart by number, in order of text.
     Columns stay as they are.
     """
+    docs, named = shielded(docs, {"doc_id", "source", "text"})
     plan = (
         plan_mix(docs, seed)
         .withColumn("_no", F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy("copies")))
@@ -184,7 +185,7 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
         "_number",
         F.row_number().over(Window.partitionBy("doc_id", "source", "_size").orderBy("text")),
     )
-    return (
+    return named(
         numbered.join(
             plan,
             F.col("doc_id").eqNullSafe(F.col("_d"))
@@ -193,5 +194,4 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
             & (F.col("_number") == F.col("_no")),
         )
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-        .select(*docs.columns)
     )

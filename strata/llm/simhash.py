@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import saved, whole_groups, word_lists
+from strata.llm.common import saved, shielded, whole_groups, word_lists
 
 SEED = 42
 SHINGLE = 3
@@ -290,9 +290,10 @@ def keep_marked(docs: DataFrame, rooted: DataFrame) -> DataFrame:
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("k"))
         .select(F.col("k.doc_id").alias("_id"), F.col("k.mark").alias("_mark"))
     )
+    docs, named = shielded(docs, {"doc_id", "text"})
     # two groups may keep rows that share id and mark only if they are one text, and so one group
     kept = docs.withColumn("_own", mark()).join(
         keepers, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_mark"))
     )
     first = Window.partitionBy("doc_id", "_own").orderBy(*[c for c in docs.columns if c != "text"])
-    return kept.withColumn("_no", F.row_number().over(first)).where("_no = 1").select(*docs.columns)
+    return named(kept.withColumn("_no", F.row_number().over(first)).where("_no = 1"))

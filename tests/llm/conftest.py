@@ -75,6 +75,6 @@ def clashing(df):
     """The table with further columns, named like those that operators make."""
     from pyspark.sql import functions as F
 
-    for name in ("kept", "fp", "size", "spans", "score", "gram", "_bucket", "next", "rank", "ids"):
+    for name in ("kept", "fp", "size", "spans", "score", "gram", "_bucket", "next", "rank", "ids", "_size", "_number", "_copy", "_own", "_no", "_own0", "a.b"):
         df = df.withColumn(name, F.lit("own"))
     return df

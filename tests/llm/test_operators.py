@@ -389,3 +389,13 @@ def test_long_texts_in_pieces(monkeypatch):
     (group,) = whole.pieces([text])
     _, at, gram, context = whole.of([text], group)
     assert found == set(zip(at.tolist(), gram.tolist(), context, strict=True))
+
+
+@pytest.mark.parametrize("operator", [mixing.mix, simhash.keep_one], ids=["mix", "keep_one"])
+def test_columns_named_like_temporaries_keep_their_values(odd, operator):
+    docs = clashing(odd)
+    got = operator(docs)
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert rows and all(r[c] == "own" for r in rows for c in ("_size", "_number", "_copy", "_own", "_no", "_own0", "a.b", "kept"))
+    assert bag(got.select("doc_id", "text")) == bag(operator(odd).select("doc_id", "text"))
