@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
 
+from strata.llm.common import worker_cache
+
 MODEL = public_tokenizers.path("byte_bpe_50k.json")
 #: Characters of a text that are read at a time.
 CHUNK = 1 << 16
@@ -440,17 +442,15 @@ class Decoder:
         return "".join([*parts, self.finish()])
 
 
-_COMPILED: dict[str, tuple[Encoder, Decoder]] = {}
-
-
 def compiled(data: bytes, kinds: bytes) -> tuple[Encoder, Decoder]:
     """The transducers of a model, made once per worker."""
     key = hashlib.sha256(data).hexdigest()
-    if key not in _COMPILED:
+    kept = worker_cache("bytepairs")
+    if key not in kept:
         merges = Merges(data)
-        _COMPILED.clear()
-        _COMPILED[key] = Encoder(merges, kinds), Decoder(merges)
-    return _COMPILED[key]
+        kept.clear()
+        kept[key] = Encoder(merges, kinds), Decoder(merges)
+    return kept[key]
 
 
 def _mapped(df: DataFrame, schema: str, path: str, of) -> DataFrame:

@@ -44,6 +44,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_KEPT: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What an operator keeps in a Python worker from task to task; what others kept there is let go.
+
+    Workers are used again by later stages, which would otherwise hold the
+    memory of all operators before them.
+    """
+    for other in [k for k in _KEPT if k != owner]:
+        del _KEPT[other]
+    return _KEPT.setdefault(owner, {})
+
+
 def shielded(docs: DataFrame, used: set[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """``docs`` with numbered names for all columns but those ``used``, and what gives a result the old names back.
 

@@ -30,6 +30,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import worker_cache
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 #: Stretches and pairs that a worker remembers at most, and the longest such stretch.
@@ -300,16 +302,14 @@ def model_bytes(path: str = MODEL) -> bytes:
         return file.read()
 
 
-_COMPILED: dict[str, Transducer] = {}
-
-
 def compiled(model: bytes) -> Transducer:
     """The machine of a model, compiled once per worker."""
     key = hashlib.sha256(model).hexdigest()
-    if key not in _COMPILED:
-        _COMPILED.clear()
-        _COMPILED[key] = Transducer(model)
-    return _COMPILED[key]
+    kept = worker_cache("pieces")
+    if key not in kept:
+        kept.clear()
+        kept[key] = Transducer(model)
+    return kept[key]
 
 
 def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:

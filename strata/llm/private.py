@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from strata.llm import tagger
+from strata.llm.common import worker_cache
 from strata.llm.tagger import KINDS, NEVER, TAGS
 
 CELL = 48
@@ -368,6 +369,7 @@ def find_private(docs: DataFrame) -> DataFrame:
     net = docs.sparkSession.sparkContext.broadcast(train(docs))
 
     def run(batches):
+        worker_cache("private")
         for batch in batches:
             rows = []
             for base, every in find(net.value, batch["text"]):
@@ -389,6 +391,7 @@ def redact_private(docs: DataFrame) -> DataFrame:
     net = docs.sparkSession.sparkContext.broadcast(train(docs))
 
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_cache("private")
         for batch in texts:
             yield pd.Series([redact(t, e) for t, (_, e) in zip(batch, find(net.value, batch), strict=True)])
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import saved, shielded, whole_groups, word_lists
+from strata.llm.common import saved, shielded, whole_groups, word_lists, worker_cache
 
 SEED = 42
 SHINGLE = 3
@@ -73,6 +73,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, fp): a hash of the text, and its fingerprint as a signed long."""
 
     def run(batches):
+        worker_cache("simhash")
         for batch in batches:
             fps = np.array([simhash(t) for t in batch["text"]], np.uint64).view(np.int64)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "mark": batch["mark"], "fp": fps})

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from strata.llm.common import saved
+from strata.llm.common import saved, worker_cache
 
 POSITIVES = 2000
 UNLABELLED = 8000
@@ -309,6 +309,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     weights, bias = train(docs, labels)
 
     def run(batches):
+        worker_cache("toxicity")
         score = scorer(weights, bias)
         for batch in batches:
             yield pd.DataFrame(
@@ -330,6 +331,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     weights, bias = train(docs, labels)
 
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_cache("toxicity")
         score = scorer(weights, bias)
         for batch in texts:
             yield pd.Series([score(t) for t in batch], dtype="float64")
