@@ -8,7 +8,8 @@ The same bound finds the candidates. The bits are cut into blocks; of a linked
 pair at most ``REACH`` blocks differ, so the others agree, and then so do the
 distances of those blocks to every pivot. Fingerprints therefore meet under
 their tuples of block distances, one for each choice of blocks; nothing is left
-out. Within a meeting, pairs are discarded by the largest difference of their
+out. (With as many pivots, a tuple tells a block's bits apart, so such meetings
+are those of equal blocks.) Within a meeting, pairs are discarded by the largest difference of their
 whole distances, and the survivors are verified. The number of blocks, and with
 it the width of a tuple, follows from the number of fingerprints.
 
