@@ -7,13 +7,17 @@ shorter context, without the bytes that the longer one holds (escape method C,
 with exclusion). The statistics are frozen after training, so the code length of
 a text is a sum of fixed lengths, and the language that codes it shortest wins.
 
-Training counts come from Spark, from a sample bounded by ``SAMPLE`` documents
-a language. Which contexts the trees keep beyond one byte is bounded by
-``CELLS``, the lengths held for all languages together.
+Every value of ``lang`` gets a tree, grown in a task of its own from a sample of
+about ``SAMPLE`` bytes of whole documents, with the ``GRAMS`` most frequent
+contexts of two and of three bytes and what followed them. A tree does not
+depend on how many others there are; what the driver holds and broadcasts is
+their number times a tree's bound, about a megabyte.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -21,20 +25,32 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import worker_cache
+
 ORDER = 3
-#: Documents a language is learnt from, about, and languages at most, those with most documents.
-SAMPLE = 2000
-LANGUAGES = 256
-CELLS = 1 << 22
+#: Bytes of text a language is learnt from, about, and contexts with a next byte it keeps of each longer order.
+SAMPLE = 1 << 22
+GRAMS = 1 << 16
 UNKNOWN = "und"
+#: Lengths that a worker remembers, and bytes of text looked up at once; neither changes a result.
+_CELLS = 1 << 22
 _PIECE = 1 << 18
 
+_TREE = "lang string, keys array<binary>, bits array<binary>, contexts array<binary>, escapes array<binary>"
+
 
 class Trees(NamedTuple):
+    """By order 0 to 3, sorted: what followed in which context, and the contexts.
+
+    A key is the number of the language, shifted by 32, and the bytes of the
+    context, if with the one that followed.
+    """
+
     languages: list[str]
-    symbols: np.ndarray  # byte to symbol; 0 is a byte that training never met
-    nodes: np.ndarray  # the longest kept context of three symbols
-    bits: np.ndarray  # a row of lengths by language for each node and symbol
+    keys: list[np.ndarray]
+    bits: list[np.ndarray]
+    contexts: list[np.ndarray]
+    escapes: list[np.ndarray]  # bits to escape from a context, less what exclusion gives back
 
 
 def held_out():
@@ -52,19 +68,74 @@ def grams(data: np.ndarray) -> np.ndarray:
     return padded[:n] << 24 | padded[1 : n + 1] << 16 | padded[2 : n + 2] << 8 | padded[3 : n + 3]
 
 
-def _counts(docs: DataFrame) -> pd.DataFrame:
-    """(lang, gram, n) over the training sample."""
-    known = docs.where(~held_out() & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = (
-        known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    )
-    if not sizes:
-        return pd.DataFrame({"lang": [], "gram": [], "n": []})
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, SAMPLE / r["n"]))])
-    lot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(1 << 20)
-    sample = known.where(lot < share[F.col("lang")]).select("lang", "text")
+def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``keys`` stand, and which do."""
+    if not len(sorted_keys):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return at, sorted_keys[at] == keys
+
+
+def _length(trees: Trees, order: int, keys: np.ndarray) -> np.ndarray:
+    """Bits of the last byte of each key after the ``order`` bytes before it."""
+    if order < 0:
+        return np.full(len(keys), 8.0)
+    at, met = _find(trees.keys[order], keys)
+    out = np.empty(len(keys))
+    out[met] = trees.bits[order][at[met]]
+    rest = keys[~met]
+    language, code = rest & ~0xFFFFFFFF, rest & 0xFFFFFFFF
+    at, known = _find(trees.contexts[order], language | code >> 8)
+    escape = trees.escapes[order][at] * known if len(trees.escapes[order]) else np.zeros(len(rest))
+    out[~met] = escape + _length(trees, order - 1, language | code & ((1 << 8 * order) - 1))
+    return out
+
+
+def grow(gram: np.ndarray, n: np.ndarray, kept: int = GRAMS) -> Trees:
+    """The tree of one language, as its number 0, from counts of bytes with the three before them."""
+    tree = Trees([""], [], [], [], [])
+    for order in range(ORDER + 1):
+        code, at = np.unique(gram & ((1 << 8 * order + 8) - 1), return_inverse=True)
+        count = np.bincount(at, n)
+        if order > 1 and len(code) > kept:
+            most = np.sort(np.lexsort((code, -count))[:kept])
+            code, count = code[most], count[most]
+        context, of = np.unique(code >> 8, return_inverse=True)
+        kinds = np.bincount(of)
+        # with all bytes seen there is nothing left to escape to
+        kinds = np.where(kinds < 256, kinds, 0)
+        whole = np.bincount(of, count) + kinds
+        shorter = np.exp2(-_length(tree, order - 1, code & ((1 << 8 * order) - 1)))
+        rest = np.maximum(1 - np.bincount(of, shorter), 1e-12)
+        tree.keys.append(code)
+        tree.bits.append(-np.log2(count / whole[of]))
+        tree.contexts.append(context)
+        tree.escapes.append(-np.log2(np.maximum(kinds, 1) / whole / rest))
+    return tree
+
+
+def joined(trees: Sequence[tuple[str, Trees]]) -> Trees:
+    """One set of sorted arrays out of the trees of single languages."""
+    trees = sorted(trees, key=lambda t: t[0])
+
+    def column(name: str, numbered: bool) -> list[np.ndarray]:
+        shift = [np.int64(i << 32 if numbered else 0) for i in range(len(trees))]
+        parts = [[getattr(t, name)[order] + s for (_, t), s in zip(trees, shift)] for order in range(ORDER + 1)]
+        return [np.concatenate([np.zeros(0, np.int64 if numbered else np.float64), *p]) for p in parts]
+
+    names = [lang for lang, _ in trees]
+    return Trees(names, column("keys", True), column("bits", False), column("contexts", True), column("escapes", False))
 
-    def run(batches):
+
+def train(docs: DataFrame) -> Trees:
+    """Trees of all languages, each grown in a task from its own sample of whole documents."""
+    known = docs.where(~held_out() & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
+    sizes = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("_bytes"))
+    lot = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / F.lit(1 << 20)
+    # a row a language; the driver gets a tree for each of these rows
+    sample = known.join(F.broadcast(sizes), "lang").where(lot * F.col("_bytes") < SAMPLE).select("lang", "text")
+
+    def count(batches):
         for batch in batches:
             for lang, part in batch.groupby("lang"):
                 for texts in np.array_split(part["text"].to_numpy(), max(1, len(part) // 500)):
@@ -72,122 +143,114 @@ def _counts(docs: DataFrame) -> pd.DataFrame:
                         gram, n = np.unique(np.concatenate([grams(as_bytes(t)) for t in texts]), return_counts=True)
                         yield pd.DataFrame({"lang": lang, "gram": gram.astype(np.int64), "n": n})
 
-    return (
-        sample.mapInPandas(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    def tree(part: pd.DataFrame) -> pd.DataFrame:
+        grown = grow(part["gram"].to_numpy(np.int64), part["n"].to_numpy(np.float64))
+        arrays = {name: [a.tobytes() for a in getattr(grown, name)] for name in Trees._fields[1:]}
+        return pd.DataFrame([{"lang": part["lang"].iloc[0], **arrays}])
+
+    counts = sample.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    rows = counts.groupBy("lang").applyInPandas(tree, _TREE).collect()
+
+    def arrays(packed: list[bytes], kind: type) -> list[np.ndarray]:
+        return [np.frombuffer(p, kind) for p in packed]
+
+    return joined(
+        [
+            (r["lang"], Trees([], arrays(r["keys"], np.int64), arrays(r["bits"], np.float64), arrays(r["contexts"], np.int64), arrays(r["escapes"], np.float64)))
+            for r in rows
+        ]
     )
 
 
-def _predict(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-    """Probabilities in contexts, a row each, from what followed and the shorter context's."""
-    total = counts.sum(1, keepdims=True)
-    kinds = (counts > 0).sum(1, keepdims=True)
-    unseen = np.where(counts > 0, 0.0, shorter)
-    rest = unseen.sum(1, keepdims=True)
-    # with nothing left to escape to, no escape is paid
-    escape = np.where(rest > 0, kinds, 0)
-    whole = np.maximum(total + escape, 1)
-    mixed = counts / whole + unseen * (escape / whole) / np.where(rest > 0, rest, 1)
-    return np.where(total > 0, mixed, shorter)
-
-
-def build(counts: pd.DataFrame, cells: int = CELLS) -> Trees:
-    languages = sorted(counts["lang"].unique())
-    if not languages:
-        return Trees([], np.zeros(256, np.int64), np.zeros(1, np.int32), np.zeros((1, 0), np.float32))
-    gram = counts["gram"].to_numpy(np.int64)
-    n = counts["n"].to_numpy(np.float64)
-    used = np.unique(gram & 255)
-    symbols = np.zeros(256, np.int64)
-    symbols[used] = np.arange(1, len(used) + 1)
-    width = len(used) + 1
-    which = np.searchsorted(languages, counts["lang"].to_numpy())
-    past = [symbols[(gram >> shift) & 255] for shift in (24, 16, 8)]
-    symbol = symbols[gram & 255]
-    # a context is its symbols as a number in base width, with its length
-    two, three = past[1] * width + past[2], (past[0] * width + past[1]) * width + past[2]
-    room = max(0, cells // (width * max(1, len(languages))) - width)
-    share = n / np.bincount(which, n)[which]
-    weights = []
-    for order, code in ((2, two), (3, three)):
-        value, at = np.unique(code, return_inverse=True)
-        weights.append(pd.DataFrame({"order": order, "code": value, "weight": np.bincount(at, share)}))
-    kept = pd.concat(weights).sort_values(["weight", "order", "code"], ascending=[False, True, True]).head(room)
-    kept_two = np.sort(kept.loc[kept["order"] == 2, "code"].to_numpy())
-    kept_three = np.sort(kept.loc[kept["order"] == 3, "code"].to_numpy())
-    nodes = np.empty((width, width, width), np.int32)
-    nodes[:] = np.arange(width)
-    for i, code in enumerate(kept_two):
-        nodes[:, code // width, code % width] = width + i
-    shorter_three = nodes.reshape(-1)[kept_three]
-    nodes.reshape(-1)[kept_three] = width + len(kept_two) + np.arange(len(kept_three))
-    bits = np.empty((len(languages), width + len(kept), width), np.float32)
-    unmet = 256 - len(used)  # bytes that share symbol 0, and its probability
-    base = np.full(width, 1 / 256)
-    base[0] = unmet / 256
-    for k in range(len(languages)):
-        own = which == k
-
-        def table(code: np.ndarray, rows: np.ndarray, own: np.ndarray = own) -> np.ndarray:
-            at = np.searchsorted(rows, code[own])
-            hit = (at < len(rows)) & (rows[np.minimum(at, len(rows) - 1)] == code[own]) if len(rows) else np.zeros(len(at), bool)
-            flat = np.bincount(at[hit] * width + symbol[own][hit], n[own][hit], len(rows) * width)
-            return flat.reshape(len(rows), width)
-
-        zero = _predict(np.bincount(symbol[own], n[own], width)[None], base[None])
-        one = _predict(table(past[2], np.arange(width)), np.repeat(zero, width, 0))
-        second = _predict(table(two, kept_two), one[kept_two % width])
-        upto = np.concatenate([one, second])
-        third = _predict(table(three, kept_three), upto[shorter_three])
-        bits[k] = -np.log2(np.maximum(np.concatenate([upto, third]), 1e-30))
-        bits[k, :, 0] += np.log2(max(unmet, 1))
-    return Trees(languages, symbols, nodes.reshape(-1), np.ascontiguousarray(bits.transpose(1, 2, 0)).reshape(-1, len(languages)))
+def _rows(gram: np.ndarray, trees: Trees) -> np.ndarray:
+    """Lengths of distinct grams, a column for each language."""
+    numbers = np.arange(len(trees.languages), dtype=np.int64) << 32
+    keys = (numbers[:, None] | gram.astype(np.int64)[None]).reshape(-1)
+    return _length(trees, ORDER, keys).reshape(len(numbers), -1).T.astype(np.float32)
 
 
-def train(docs: DataFrame) -> Trees:
-    return build(_counts(docs))
-
-
-def code_lengths(text: str, trees: Trees) -> np.ndarray:
-    """Bits that each language needs for a text."""
-    width = round(len(trees.nodes) ** (1 / 3))
-    data = trees.symbols[as_bytes(text)]
-    zero = np.full(ORDER, trees.symbols[0])
-    total = np.zeros(len(trees.languages))
-    for at in range(0, len(data), _PIECE):
-        part = np.concatenate([zero, data[at : at + _PIECE]])
-        zero = part[len(part) - ORDER :]
-        node = trees.nodes[(part[:-3] * width + part[1:-2]) * width + part[2:-1]]
-        total += trees.bits[node * width + part[3:]].sum(0, dtype=np.float64)
+def code_lengths(texts: Sequence[np.ndarray], trees: Trees, memory: dict | None = None) -> np.ndarray:
+    """Bits that each language, a column, needs for each text, a row.
+
+    Lengths of grams met before are taken from ``memory``, which starts anew
+    when it holds more than ``_CELLS`` of them.
+    """
+    memory = {} if memory is None else memory
+    count = len(trees.languages)
+    total = np.zeros((len(texts), count))
+    piece = max(1024, min(_PIECE, _CELLS // max(1, count)))
+    # stretches of about a piece each: of one long text, or of many short ones
+    stretch: list[np.ndarray] = []
+    owner: list[int] = []
+    size = 0
+
+    def flush() -> None:
+        nonlocal stretch, owner, size
+        if not stretch:
+            return
+        gram = np.concatenate(stretch)
+        known = memory.get("gram", np.zeros(0, np.uint32))
+        lengths = memory.get("bits", np.zeros((0, count), np.float32))
+        at, met = _find(known, gram)
+        if not met.all():
+            new = np.unique(gram[~met])
+            if (len(known) + len(new)) * count > _CELLS:
+                known, lengths, new = known[:0], lengths[:0], np.unique(gram)
+            place = np.searchsorted(known, new)
+            known, lengths = np.insert(known, place, new), np.insert(lengths, place, _rows(new, trees), axis=0)
+            memory["gram"], memory["bits"] = known, lengths
+            at, _ = _find(known, gram)
+        starts = np.cumsum([0, *[len(s) for s in stretch[:-1]]])
+        np.add.at(total, owner, np.add.reduceat(lengths[at], starts, axis=0, dtype=np.float64))
+        stretch, owner, size = [], [], 0
+
+    for i, data in enumerate(texts):
+        for start in range(0, len(data), piece):
+            before = data[max(0, start - ORDER) : start]
+            part = grams(np.concatenate([before, data[start : start + piece]]))[len(before) :]
+            stretch.append(part)
+            owner.append(i)
+            size += len(part)
+            if size >= piece:
+                flush()
+    flush()
     return total
 
 
-def identify(text: str | None, trees: Trees) -> tuple[str, float]:
-    """The language that codes a text shortest, and its share among all by probability.
+def identify(texts: Sequence[str | None], trees: Trees, memory: dict | None = None) -> list[tuple[str, float]]:
+    """The language that codes each text shortest, and its share among all by probability.
 
     ``und`` with score 0 if there is no letter or nothing was learnt. Of equal
     lengths the language first by name wins.
     """
-    if not trees.languages or not any(c.isalpha() for c in text or ""):
-        return UNKNOWN, 0.0
-    bits = code_lengths(text, trees)
-    best = int(np.argmin(bits))
-    return trees.languages[best], float(1 / np.exp2(np.maximum(bits[best] - bits, -1000.0)).sum())
+    found = [(UNKNOWN, 0.0)] * len(texts)
+    read = [i for i, t in enumerate(texts) if trees.languages and any(c.isalpha() for c in t or "")]
+    for low in range(0, len(read), 500):
+        some = read[low : low + 500]
+        bits = code_lengths([as_bytes(texts[i]) for i in some], trees, memory)
+        for i, own in zip(some, bits):
+            best = int(np.argmin(own))
+            found[i] = trees.languages[best], float(1 / np.exp2(np.maximum(own[best] - own, -1000.0)).sum())
+    return found
 
 
 def identify_languages(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every document.
 
-    Learns from documents of the other folds that have a language and a text.
-    Null or empty texts are ``und``; repeated rows are identified each; other
-    columns are ignored.
+    Learns from documents of the other folds that have a language and a text,
+    every value of ``lang`` by itself. Null or empty texts are ``und``; repeated
+    rows are identified each; other columns are ignored.
     """
-    # bounded by CELLS, and by the cube of the byte alphabet
+    # bounded by GRAMS a language
     trees = docs.sparkSession.sparkContext.broadcast(tuple(train(docs)))
+    run_id = uuid.uuid4().hex
 
     def run(batches):
         known = Trees(*trees.value)
+        # a worker may see the trees of several runs
+        memory = worker_cache("language").setdefault(run_id, {})
         for batch in batches:
-            found = [identify(t, known) for t in batch["text"]]
+            found = identify(batch["text"].tolist(), known, memory)
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"],

@@ -123,11 +123,10 @@ def test_language_is_learnt_and_has_true_probabilities(documents):
     assert all(got[i]["lang_pred"] == lang for i, _, lang, _ in rows)
     assert got[500]["lang_pred"] == got[501]["lang_pred"] == "und"
     trees = language.train(docs)
-    width = round(len(trees.nodes) ** (1 / 3))
-    share = np.exp2(-trees.bits.reshape(-1, width, 2).astype(float))
-    # symbol 0 stands for all bytes that training never met
-    share[:, 0] *= 256 - (width - 1)
-    assert np.allclose(share.sum(1), 1, atol=1e-3)
+    everything = np.arange(256, dtype=np.int64)
+    for before in (0, 0x616263, 0x20FF61, 0x7A7A7A):
+        share = np.exp2(-language._rows(before << 8 | everything, trees).astype(float))
+        assert np.allclose(share.sum(0), 1, atol=1e-4)
 
 
 @pytest.mark.parametrize(
