@@ -83,7 +83,7 @@ def collect_by(
     so a payment is not copied per unit, and the payments are joined once, with
     accounts that already carry the links. A person with many ``by`` values
     would put each of them on each account; such people's payments are summed
-    per person first and meet the links as sums.
+    per person and meet the links as sums (:func:`_sum_many`).
     """
     links = unit_people(tables, building_id, label).groupBy(PERSON, *by).agg(
         F.count(F.lit(1)).cast("decimal(10,0)").alias(_LINKS)
@@ -96,25 +96,58 @@ def collect_by(
         *[column.alias(name) for name, column in periods.items()],
         *[column.alias(name) for name, column in measures.items()],
     )
-    most, size = _measure_links(links)
-    small = is_small(size)
-    many = None
-    if most > MANY_VALUES:
-        values = links.groupBy(PERSON).agg(F.count(F.lit(1)).alias("_values"))
-        many = values.where(F.col("_values") > MANY_VALUES).select(PERSON)
-    few = links if many is None else links.join(many, PERSON, "left_anti")
-    linked = payments.join(_accounts_of(tables, few, small), ACCOUNT)
-    summed = _sum_links(linked, [*by, *periods], measures)
-    if many is None:
-        return summed
-    per_person = (
-        payments.join(_accounts_of(tables, many, small), ACCOUNT)
-        .groupBy(PERSON, *periods)
-        .agg(*[F.sum(name).alias(name) for name in measures])
+    # of all buildings nothing is measured, so that no job runs until rows are asked for
+    small, many = False, bool(by)
+    if building_id is not None:
+        most, size = _measure_links(links)
+        small, many = is_small(size), most > MANY_VALUES
+    if not many:
+        return _sum_links(payments.join(_accounts_of(tables, links, small), ACCOUNT), [*by, *periods], measures)
+    return _sum_many(tables, payments, links, by, periods, measures, small)
+
+
+def _sum_many(
+    tables: Tables,
+    payments: DataFrame,
+    links: DataFrame,
+    by: Sequence[str],
+    periods: Sequence[str],
+    measures: Sequence[str],
+    small: bool,
+) -> DataFrame:
+    """Sums where persons may have many ``by`` values, in one pass over the payments.
+
+    Accounts of other persons carry their links; one of such a person carries
+    the person. Both kinds are summed by the same aggregate, and what it leaves
+    of such persons meets their links. Sums of the others find none there; they
+    pass through the same join, spread by a salt.
+    """
+    counted = links.join(links.groupBy(PERSON).agg(F.count(F.lit(1)).alias("_values")), PERSON)
+    crowded = counted.where(F.col("_values") > MANY_VALUES)
+    kinds = {f.name: f.dataType for f in links.schema.fields}
+    person = F.lit(None).cast(kinds[PERSON]).alias("_many")
+    own = counted.where(F.col("_values") <= MANY_VALUES).select(PERSON, *by, _LINKS, person)
+    single = crowded.select(PERSON).distinct().select(
+        PERSON,
+        *[F.lit(None).cast(kinds[c]).alias(c) for c in by],
+        F.lit(1).cast(kinds[_LINKS]).alias(_LINKS),
+        F.col(PERSON).alias("_many"),
+    )
+    linked = payments.join(_accounts_of(tables, own.unionByName(single), small), ACCOUNT)
+    sums = _sum_links(linked, [*by, "_many", *periods], measures)
+    alone = F.col("_many").isNull()
+    salt = F.when(alone, F.xxhash64(*by, *periods)).otherwise(F.lit(0))
+    theirs = crowded.select(
+        F.col(PERSON).alias("_many"),
+        F.lit(0).cast("long").alias("_salt"),
+        F.col(_LINKS).alias("_times"),
+        *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)],
     )
-    rest = _sum_links(per_person.join(links, PERSON), [*by, *periods], measures)
+    met = sums.withColumn("_salt", salt).join(theirs, ["_many", "_salt"], "left")
+    shown = [F.when(alone, F.col(c)).otherwise(F.col(f"_by{i}")).alias(c) for i, c in enumerate(by)]
+    times = F.coalesce("_times", F.lit(1).cast(kinds[_LINKS]))
     return (
-        summed.unionByName(rest)
+        met.select(*shown, *periods, *[(F.col(name) * times).alias(name) for name in measures])
         .groupBy(*by, *periods)
         .agg(*[F.sum(name).cast(AMOUNT_TYPE).alias(name) for name in measures])
     )
@@ -152,7 +185,8 @@ def payments_by_unit(
     ).select(
         "PagoID", ACCOUNT, "Fecha", "Importe"
     )
-    small = is_small(measured_bytes(people))
+    # of all buildings nothing is measured, so that no job runs until rows are asked for
+    small = building_id is not None and is_small(measured_bytes(people))
     return payments.join(_accounts_of(tables, people, small), ACCOUNT).drop(ACCOUNT, PERSON)
 
 

@@ -147,3 +147,41 @@ def test_contacts_meet_only_the_debtors_that_are_kept(make):
     text = plan(plans.top_debtors(tables))
     first_join = text.rindex("_rank")
     assert "Telefono" not in "".join(l for l in text[first_join:].splitlines() if "Exchange" in l)
+
+
+ALL_BUILDINGS = {
+    "weekly_collection": lambda t: plans.weekly_collection(t),
+    "monthly_by_unit": lambda t: plans.monthly_by_unit(t, 2024),
+    "collection_by_source": lambda t: plans.collection_by_source(t),
+    "top_income_months": lambda t: plans.top_income_months(t),
+    "payment_gaps": lambda t: plans.payment_gaps(t),
+    "financial_state": lambda t: plans.financial_state(t),
+}
+
+
+@pytest.mark.parametrize("name", ALL_BUILDINGS)
+def test_no_job_runs_while_a_report_of_all_buildings_is_built(spark, small, name):
+    context = spark.sparkContext
+    context.setJobGroup(f"build {name}", name)
+    try:
+        report = ALL_BUILDINGS[name](small)
+        assert list(context.statusTracker().getJobIdsForGroup(f"build {name}")) == []
+        report.collect()
+        assert len(list(context.statusTracker().getJobIdsForGroup(f"build {name}"))) > 0
+    finally:
+        context.setJobGroup("tests", "tests")
+
+
+@pytest.mark.parametrize("bound", [0, 1])
+def test_persons_of_many_buildings_sum_alike_at_every_bound(small, monkeypatch, bound):
+    want = [bag(make(small)) for make in ALL_BUILDINGS.values()]
+    monkeypatch.setattr(collection, "MANY_VALUES", bound)
+    assert [bag(make(small)) for make in ALL_BUILDINGS.values()] == want
+
+
+def test_payments_are_scanned_once_where_persons_have_many_buildings(spark, tmp_path, small):
+    write_tables(small, str(tmp_path / "t"))
+    tables = Tables.from_parquet(spark, str(tmp_path / "t"))
+    shown = plan(plans.collection_by_source(tables))
+    scans = [line for line in shown.splitlines() if "FileScan" in line and "NroClaveUniformeID" in line and "Importe" in line]
+    assert len(scans) == 1
