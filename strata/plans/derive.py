@@ -20,6 +20,8 @@ from strata.sources.tables import Tables
 
 BUILDING = "ConsorcioID"
 
+UNITS_A_PIECE = 10_000
+
 _CENTS = "_cents"
 
 
@@ -81,7 +83,11 @@ def _charges(
     """
     millionths = F.round((F.col(weight) if weight else F.lit(1)).cast("decimal(24,6)"), 6) * 1_000_000
     units = tables.unit.withColumn("_weight", millionths.cast("decimal(17,0)"))
-    whole = units.groupBy(BUILDING).agg(F.sum("_weight").cast("decimal(18,0)").alias("_whole"))
+    # a building of many units is cut into pieces, each of which meets its months in a task of its own
+    whole = units.groupBy(BUILDING).agg(
+        F.sum("_weight").cast("decimal(18,0)").alias("_whole"),
+        F.expr(f"cast(1 + count(1) div {UNITS_A_PIECE} as int)").alias("_pieces"),
+    )
     owned = (
         units.where(F.col("PropietarioID").isNotNull())
         .groupBy(BUILDING, F.col("PropietarioID").alias(PERSON))
@@ -91,12 +97,16 @@ def _charges(
         BUILDING,
         "Periodo",
         "_whole",
+        F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)).alias("_piece"),
         F.expr("cast(200 * abs(TotalGastos) as decimal(20,0))").alias("_twice"),
         F.expr("cast(sign(TotalGastos) as bigint)").alias("_sign"),
     )
     # half a cent goes away from zero
     cents = F.expr("_sign * ((_twice * _owned + _whole) div (2 * _whole))")
-    return owned.join(months, BUILDING).select(PERSON, BUILDING, "Periodo", cents.alias(_CENTS))
+    owned = owned.join(whole.select(BUILDING, "_pieces"), BUILDING).withColumn(
+        "_piece", F.pmod(F.xxhash64(PERSON), "_pieces").cast("int")
+    )
+    return owned.join(months, [BUILDING, "_piece"]).select(PERSON, BUILDING, "Periodo", cents.alias(_CENTS))
 
 
 def _credits(tables: Tables, period: dt.date | None, since: dt.date | None = None) -> DataFrame:

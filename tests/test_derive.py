@@ -152,3 +152,18 @@ def test_financial_state(books):
     assert got == sorted(expected, key=repr)
     one = plans.financial_state(books, day("2025-01-01"))
     assert bag(one) == [r for r in got if r[1] == day("2025-01-01")]
+
+
+def test_charges_of_a_large_building_are_spread_and_alike(make, monkeypatch):
+    from strata.plans import derive
+
+    units = [(i, 1, i, None, "1", "A") for i in range(400)] + [(400, 2, 5, 6, "1", "A"), (401, 3, None, 6, "1", "A")]
+    spent = [(b, day(f"2025-{m:02}-01"), "LIMPIEZA", money(1000 + b)) for b in (1, 2, 3) for m in range(1, 7)]
+    tables = make(unit=units, expense_ordinary=spent)
+    whole = bag(plans.prorate(tables))
+    assert len(whole) == 401 * 6
+    monkeypatch.setattr(derive, "UNITS_A_PIECE", 40)
+    assert bag(plans.prorate(tables)) == whole
+    charges = derive._charges(tables, None, None)
+    assert charges.count() == 401 * 6
+    assert "_piece" in charges._jdf.queryExecution().optimizedPlan().toString()

@@ -337,3 +337,21 @@ def test_required_columns_are_needed(spark):
         sources.read_with_rejects(spark, "x", "csv", SCHEMAS["account"], [])
     with pytest.raises(ValueError):
         sources.read_with_rejects(spark, "x", "csv", SCHEMAS["account"], ["PersonaID"], ["NroClaveUniformeID"])
+
+
+def test_a_report_run_again_replaces_its_own_rows(spark, tmp_path):
+    def row(building):
+        return spark.createDataFrame([(building, 2025, 4, "u")], SCHEMAS["chart_report"])
+
+    path = f"{tmp_path}/r"
+    sources.append_report(row(1), path, "abril")
+    sources.append_report(row(2), path, "mayo")
+    sources.append_report(row(1), path, "abril")
+    assert bag(sources.read_report(spark, path)) == [(1, 2025, 4, "u"), (2, 2025, 4, "u")]
+    sources.append_report(row(3), path)
+    sources.append_report(row(3), path)
+    assert [r[0] for r in bag(sources.read_report(spark, path))] == [1, 2, 3, 3]
+    sources.append_report(row(1).limit(0), path, "abril")
+    assert [r[0] for r in bag(sources.read_report(spark, path))] == [2, 3, 3]
+    with pytest.raises(ValueError):
+        sources.append_report(row(1), path, "../other")
