@@ -11,7 +11,7 @@ Every value of ``lang`` gets a tree, grown in a task of its own from a sample of
 about ``SAMPLE`` bytes of whole documents, with the ``GRAMS`` most frequent
 contexts of two and of three bytes and what followed them. A tree does not
 depend on how many others there are; what the driver holds and broadcasts is
-their number times a tree's bound, about a megabyte.
+their number times a tree's bound, at most 5 MB.
 """
 
 from __future__ import annotations
