@@ -167,3 +167,49 @@ def test_charges_of_a_large_building_are_spread_and_alike(make, monkeypatch):
     charges = derive._charges(tables, None, None)
     assert charges.count() == 401 * 6
     assert "_piece" in charges._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_balances_are_carried_on_without_shuffling_months(books):
+    plan = plans.prorate(books)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("aggregate(_moves")]
+    # months become rows in the last step: nothing above sorts, groups or shuffles them
+    assert not any(step in above for step in ("Window", "Sort", "Aggregate(", "Exchange"))
+
+
+def test_shares_beyond_64_bits_are_exact(make):
+    units = [(1, 1, 100, None, "1", "A"), (2, 1, 101, None, "1", "B"), (3, 1, 101, None, "1", "C")]
+    tables = make(unit=units, expense_extra=[(1, day("2025-01-01"), money("9000000000000000.01")), (1, day("2025-02-01"), money("1.00"))])
+    got = {(r[0], r[2]): r[3] for r in rows(plans.prorate(tables))}
+    assert got[100, day("2025-01-01")] == money("3000000000000000.00")
+    assert got[101, day("2025-01-01")] == money("6000000000000000.01")
+    assert got[101, day("2025-02-01")] == money("6000000000000000.68")
+
+
+def test_odd_moves_stand_as_before(make, spark):
+    """Owners whose weight is null have months without amount until they pay; payments without day come first."""
+    base = make(
+        unit=[(1, 1, 100, None, "1", "A"), (2, 1, 101, 102, "1", "B"), (3, None, 103, None, "1", "C")],
+        account=[("a", 100), ("c", 102), ("d", 103)],
+        payment=[
+            (1, day("2025-02-03"), money(4), "ORDINARIO", "a"),
+            (2, None, money(1), "ORDINARIO", "c"),
+            (3, day("2025-02-03"), money(2), "ORDINARIO", "c"),
+            (4, day("2025-02-03"), money(6), "ORDINARIO", "d"),
+        ],
+        expense_extra=[(1, day(f"2025-0{m}-01"), money(10)) for m in (1, 2)],
+    )
+    weight = spark.createDataFrame([(1, None), (2, 1), (3, 1)], "UnidadFuncionalID long, Peso int")
+    parts = {r: base[r] for r in ("payment", "account", "expense_ordinary", "expense_extra")}
+    tables = Tables.of(unit=base.unit.join(weight, "UnidadFuncionalID"), **parts)
+    assert bag(plans.prorate(tables, weight="Peso")) == sorted(
+        [
+            (100, 1, day("2025-01-01"), None),
+            (100, 1, day("2025-02-01"), money(-4)),
+            (101, 1, day("2025-01-01"), money(10)),
+            (101, 1, day("2025-02-01"), money(20)),
+            (102, 1, None, money(-1)),
+            (102, 1, day("2025-02-01"), money(-3)),
+            (103, None, day("2025-02-01"), money(-6)),
+        ],
+        key=repr,
+    )
