@@ -74,7 +74,7 @@ def load_ledger(
     given_of = Tables.of(expense_ordinary=ordinary, **{r: tables[r] for r in ("payment", "account", "unit", "building")})
     write_tables(Tables.of(expense_ordinary=_with_derived(given_of, category)), path, ["expense_ordinary"])
     write_tables(Tables.of(expense_extra=_as(derive_extra_expenses(tables), "expense_extra")), path, ["expense_extra"])
-    write_tables(Tables.of(balance=_as(prorate(tables, weight=weight), "balance")), path, ["balance"])
+    _replace(_as(prorate(tables, weight=weight), "balance"), f"{path}/balance", stage("balance"), LAYOUTS["balance"][1])
     state = _as(financial_state(tables), "financial_state")
     write_layout(state, f"{path}/financial_state", [], ["ConsorcioID", "Periodo"])
     _write_logs(
@@ -175,7 +175,7 @@ def _replace(df: DataFrame, path: str, aside: str, layout: Sequence[str] = ()) -
     df.write.mode("overwrite").parquet(aside)
     whole = df.sparkSession.read.schema(df.schema).parquet(aside)
     if layout:
-        write_layout(whole, path, [], layout, mode="overwrite")
+        write_layout(whole, path, [], layout, mode="overwrite", rows=whole.count())
     else:
         whole.write.mode("overwrite").parquet(path)
 

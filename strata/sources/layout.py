@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from strata.sources.tables import Tables
 
+#: Rows that a task sorts at most, about, where the number of rows is known.
+ROWS_A_RANGE = 2_000_000
+
 # role: (directory columns, sort columns); only the calendar makes directories,
 # as buildings may be too many to have one each
 LAYOUTS = {
@@ -29,6 +32,7 @@ def write_layout(
     partition_by: Sequence[str],
     sort_by: Sequence[str],
     mode: str = "errorifexists",
+    rows: int | None = None,
 ) -> None:
     """Write Parquet files sorted by ``sort_by``, in directories by ``partition_by``.
 
@@ -37,12 +41,17 @@ def write_layout(
     table over many tasks. Without, each task takes a range of ``sort_by``, so
     that a filter on it skips most files by their statistics; a hash of the row
     comes last and splits a value that holds much of the table, and a task that
-    is run again deals its rows out as before.
+    is run again deals its rows out as before. There are as many ranges as
+    shuffle partitions, and more if ``rows``, the number of rows, asks for them.
     """
     if partition_by:
         spread = df.hint("rebalance", *partition_by)
     else:
-        spread = df.repartitionByRange(*sort_by, F.xxhash64(*df.columns))
+        keys = [*map(F.col, sort_by), F.xxhash64(*df.columns)]
+        ranges = (rows or 0) // ROWS_A_RANGE + 1
+        # a number given is kept as it is, one left out may be lowered where rows are few
+        more = ranges > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = df.repartitionByRange(ranges, *keys) if more else df.repartitionByRange(*keys)
     writer = spread.sortWithinPartitions(*partition_by, *sort_by).write.mode(mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 

@@ -355,3 +355,14 @@ def test_a_report_run_again_replaces_its_own_rows(spark, tmp_path):
     assert [r[0] for r in bag(sources.read_report(spark, path))] == [2, 3, 3]
     with pytest.raises(ValueError):
         sources.append_report(row(1), path, "../other")
+
+
+def test_ranges_grow_with_the_rows_where_these_are_known(spark, tmp_path, monkeypatch):
+    from strata.sources import layout
+
+    monkeypatch.setattr(layout, "ROWS_A_RANGE", 100)
+    df = spark.range(2000).withColumn("half", F.col("id") % 2)
+    write_layout(df, str(tmp_path / "t"), [], ["half", "id"], rows=df.count())
+    files = glob.glob(f"{tmp_path}/t/*.parquet")
+    assert len(files) >= 20 and spark.read.parquet(str(tmp_path / "t")).count() == 2000
+    assert max(spark.read.parquet(f).count() for f in files) < 400
