@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: What parts words: blank, tab, line feed, vertical tab, form feed, carriage return.
 GAP = r"[\x20\x09-\x0D]+"
+#: Bytes of rows that a Python worker is sent at once.
+BATCH_BYTES = 4 << 20
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -40,6 +42,19 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lets at most about ``BATCH_BYTES`` of rows go to a Python worker at once, unless the session asks for less.
+
+    The default of 10,000 rows is tens of megabytes of texts, which the executor
+    and each worker hold several times over.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    given = re.match(r"(-?\d+)([kmgtp]?)", spark.conf.get(key).lower())
+    scale = 1024 ** " kmgtp".index(given[2] or " ") if given else 0
+    if not given or not 0 < int(given[1]) * scale <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

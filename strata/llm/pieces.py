@@ -30,14 +30,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import worker_cache
+from strata.llm.common import small_batches, worker_cache
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 #: Stretches and pairs that a worker remembers at most, and the longest such stretch.
 REMEMBERED = 400_000
 LONGEST = 48
-_AHEAD = 7
+#: Letters by which arcs are remembered: longer keys seldom come again, and fill a worker.
+_AHEAD = 4
 _ROWS = 256
 
 _STRETCH = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
@@ -221,8 +222,8 @@ class Transducer:
     def _arcs(self, stretch: str, at: int) -> tuple[int, ...]:
         """The pieces that go on from a position, long ones first; -1 is the byte fallback.
 
-        Few go on past ``_AHEAD`` letters, so the letters up to there mostly
-        tell, and are remembered.
+        Where none goes on past ``_AHEAD`` letters, the letters up to there tell,
+        and are remembered.
         """
         ahead = stretch[at : at + _AHEAD]
         found = self._known.get(ahead)
@@ -253,38 +254,41 @@ class Transducer:
         shortest; long arcs are tried first, and a position that leads nowhere
         is never entered again.
         """
-        n, sizes, weight, arcs = len(stretch), self.sizes, self._weights.get, self._arcs
-        at, before, tried, found = 0, -1, 0, arcs(stretch, 0)
+        n, sizes, weight, known, arcs = len(stretch), self.sizes, self._weights.get, self._known.get, self._arcs
+        at, before, tried = 0, -1, 0
+        found = known(stretch[:_AHEAD]) or arcs(stretch, 0)
         path: list[tuple[int, int, int, tuple[int, ...]]] = []
+        out: list[int] = []
         dead: set[int] = set()
         while at < n:
-            for number in range(tried, len(found)):
-                piece = found[number]
-                if piece < 0:
-                    end = at + 1  # nothing merges across a fallback arc
-                    if end in dead:
-                        continue
-                else:
-                    end = at + sizes[piece]
-                    if end in dead:
-                        continue
+            for piece in found[tried:] if tried else found:
+                tried += 1
+                end = at + 1 if piece < 0 else at + sizes[piece]
+                if end in dead:
+                    continue
+                if piece >= 0:  # nothing merges across a fallback arc
                     fits = weight(before << 32 | piece if before >= 0 else ~piece)
                     if not (self.joins(before, piece) if fits is None else fits):
                         continue
-                path.append((at, before, number + 1, found))
-                at, before, tried, found = end, piece, 0, arcs(stretch, end)
+                path.append((at, before, tried, found))
+                out.append(piece)
+                at, before, tried = end, piece, 0
+                if at < n:
+                    found = known(stretch[at : at + _AHEAD]) or arcs(stretch, at)
                 break
             else:
                 dead.add(at)
                 at, before, tried, found = path.pop()
-        path.append((at, before, 0, ()))
-        out: list[int] = []
-        for (start, _, _, _), (_, piece, _, _) in zip(path, path[1:], strict=False):
+                out.pop()
+        if -1 not in out:
+            return out
+        ids: list[int] = []
+        for (start, *_), piece in zip(path, out, strict=True):
             if piece >= 0:
-                out.append(piece)
+                ids.append(piece)
             else:
-                out.extend(self.byte_ids[b] for b in stretch[start].encode("utf-8", "surrogatepass"))
-        return out
+                ids.extend(self.byte_ids[b] for b in stretch[start].encode("utf-8", "surrogatepass"))
+        return ids
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text."""
@@ -320,6 +324,7 @@ def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
     has no ids; repeated rows are encoded each; other columns are ignored. The
     model is read by the driver, from ``path``, and is half a megabyte.
     """
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(model_bytes(path))
 
     def run(batches):

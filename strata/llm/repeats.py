@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import saved, whole_groups
+from strata.llm.common import saved, small_batches, whole_groups, worker_cache
 
 LENGTH = 100
 GRAM = 32
@@ -165,6 +165,7 @@ def anchors(documents: DataFrame) -> DataFrame:
     """(gram, context, doc, mark, at) of all anchors."""
 
     def run(batches):
+        worker_cache("repeats")
         finder = Anchors()
         for batch in batches:
             doc, mark = batch["doc"].to_numpy(np.int64), batch["mark"].to_numpy(np.int64)
@@ -402,6 +403,7 @@ def remove_repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     in both are one document, and each gets its result. Other columns are
     ignored.
     """
+    small_batches(docs.sparkSession)
     smallest = -(1 << 63)
     documents = _documents(docs).withColumn("doc", F.coalesce("doc", F.lit(smallest)))
     spans = repeated_spans(documents, crowd)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from strata.llm.common import saved, worker_cache
+from strata.llm.common import saved, small_batches, worker_cache
 
 POSITIVES = 2000
 UNLABELLED = 8000
@@ -122,6 +122,7 @@ def _training(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    worker_cache("toxicity")
     tally: dict[tuple[str, bool], Counter] = {}
 
     def out():
@@ -248,6 +249,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]:
     Without toxic documents to learn from there are no features, and the bias
     follows from the share of toxic labels alone.
     """
+    small_batches(docs.sparkSession)
     sample, share = _training(docs, labels)
     sample = saved(sample, "toxicity-sample")
     prior = min(max(share, 1e-3), 0.9)
@@ -257,6 +259,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]:
     place = {f: i for i, f in enumerate(chosen)}
 
     def seen(batches):
+        worker_cache("toxicity")
         for batch in batches:
             yield pd.DataFrame(
                 {"positive": batch["positive"], "weight": batch["weight"], "at": [sorted(place[f] for f in found(t) & place.keys()) for t in batch["text"]]}

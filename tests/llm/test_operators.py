@@ -398,3 +398,29 @@ def test_columns_named_like_temporaries_keep_their_values(odd, operator):
     rows = got.collect()
     assert rows and all(r[c] == "own" for r in rows for c in ("_size", "_number", "_copy", "_own", "_no", "_own0", "a.b", "kept"))
     assert bag(got.select("doc_id", "text")) == bag(operator(odd).select("doc_id", "text"))
+
+
+def test_texts_go_to_workers_in_small_batches(spark):
+    from strata.llm import common
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for given, kept in (("64m", str(common.BATCH_BYTES)), ("1m", "1m")):
+            spark.conf.set(key, given)
+            common.small_batches(spark)
+            assert spark.conf.get(key) == kept
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_what_pieces_remember_of_arcs_stays_small():
+    import random
+
+    from strata.llm import pieces
+
+    machine, rng = pieces.Transducer(pieces.model_bytes()), random.Random(5)
+    for _ in range(3000):
+        word = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12))
+        assert machine.decode(machine.encode(word).tolist()) == word
+    assert len(machine._known) < 25_000
