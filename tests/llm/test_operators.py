@@ -424,3 +424,57 @@ def test_what_pieces_remember_of_arcs_stays_small():
         word = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12))
         assert machine.decode(machine.encode(word).tolist()) == word
     assert len(machine._known) < 25_000
+
+
+def words_of_letters(count, size, seed):
+    rng = np.random.default_rng(seed)
+    return ["".join(rng.choice(list("abdeghilnorstuéñ"), int(rng.integers(1, size)))) for _ in range(count)]
+
+
+def test_new_words_are_searched_together(monkeypatch):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    machine, alone = pieces.Transducer(pieces.model_bytes()), []
+    one_by_one = machine.shortest
+    monkeypatch.setattr(machine, "shortest", lambda stretch: alone.append(stretch) or one_by_one(stretch))
+    words = words_of_letters(2000, 20, 6)
+    texts = [" ".join(words[i : i + 50]) for i in range(0, 2000, 50)]
+    got = [ids.tolist() for ids in map(machine.encode, texts)]
+    assert got == [library.encode(text) for text in texts]
+    assert not alone
+    # long words and letters that are no piece are still searched alone
+    for text in (words[0] * 60, "日 a\n\nb 🙂", ""):
+        assert machine.encode(text).tolist() == library.encode(text)
+    assert alone
+
+
+def test_a_word_is_searched_once_whatever_stands_beside_it():
+    machine = pieces.Transducer(pieces.model_bytes())
+    marks = [a + b for a in ".,;:!?" for b in ".,;:!?"]
+    for text in [word + mark for word in ("house", "tree") for mark in marks]:
+        assert machine.decode(machine.encode(text).tolist()) == text
+    assert set(machine._paths) == {"▁house", "▁tree", *marks}
+
+
+@pytest.mark.parametrize("name, value", [("REMEMBERED", 60), ("_STRETCHES", 7), ("_SEARCHED", 1), ("LONGEST", 4)])
+def test_what_pieces_remember_changes_no_ids(monkeypatch, name, value):
+    words = words_of_letters(900, 9, 7)
+    texts = [" ".join(words[i : i + 90]) + ".\n" for i in range(0, 900, 30)] + ["", " ", "日" * 5]
+    machine = pieces.Transducer(pieces.model_bytes())
+    want = [machine.shortest(machine.normalise(text)) for text in texts]
+    monkeypatch.setattr(pieces, name, value)
+    machine = pieces.Transducer(pieces.model_bytes())
+    assert [ids.tolist() for ids in machine.encode_all(texts)] == want
+    assert [machine.encode(text).tolist() for text in texts] == want
+
+
+def test_table_of_many_keys():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 1 << 50, 500))
+    values = rng.integers(0, 1 << 30, len(keys)).astype(np.int32)
+    table = pieces._Table(10)
+    table.put(keys[:200], values[:200])
+    assert table.get(keys[200:]).tolist() == [-1] * (len(keys) - 200)
+    table.put(keys[200:], values[200:])
+    assert table.get(keys[::-1]).tolist() == values[::-1].tolist() and table.taken == len(keys)
